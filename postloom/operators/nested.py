@@ -83,8 +83,8 @@ def keyed(obj: dict) -> bool:
 class Entity:
     """Rows of several tables that are one kind of thing, as a comment in several layouts.
 
-    edges: (parent label, label), "*" for any parent. key and parent_ref: columns with its own and its parent's id; without a
-    parent_ref value the parent is the nearest enclosing row of the entity. unless: (column, value) of the row above that rules it out.
+    edges: (parent label, label), "*" for any parent. key and parent_ref: columns with its own and its parent's id, "@key" being its
+    key in a keyed object; without a parent_ref value the parent is the nearest enclosing row of the entity. unless: (column, value) of the row above that rules it out.
     """
 
     name: str
@@ -215,7 +215,7 @@ def _rows(value: dict, plan: TablePlan, entities: tuple[Entity, ...]) -> Iterato
                     cols[prefix + k] = scalar(v)
         e = by_edge.get((above, label)) or by_edge.get(("*", label))
         name = own = ref = None
-        if e and (own := next((cols[k] for k in e.key if cols.get(k) is not None), None)) is not None:
+        if e and (own := next((x for k in e.key if (x := key if k == "@key" else cols.get(k)) is not None), None)) is not None:
             up = parent[1] if parent else {}
             if any(up.get(c) == v for c, v in e.unless):
                 own = None
@@ -247,7 +247,7 @@ def shred(
                     continue
                 for row, label, parent, parent_table, ordinal, key, name, own, ref, cols in _rows(value, plan, entities):
                     if (tables is None or label in tables) and (name is not None or not only_entities):
-                        for c, x in zip(out, (record, row, label, parent, parent_table, ordinal, key, name, own, ref, list(cols.items()) if with_cols else None)):
+                        for c, x in zip(out, (record, row, label, parent, parent_table, ordinal, key, name, own, ref, cols if with_cols else None)):
                             c.append(x)
             yield pd.DataFrame(dict(zip([x.split()[0] for x in ROWS.replace("map<string,string>", "map").split(", ")], out))).astype({"parent_row": "Int64"})
 
