@@ -12,7 +12,7 @@ ACTIVE_DOMAINS = ("Software Engineering", "AI", "Security", "EdTech", "Career",
 SENTIMENTS = ("positive", "negative", "neutral", "mixed")
 STANCES = ("assertive", "critical", "supportive", "questioning", "informational")
 POST_TYPES = ("opinion", "news_reaction", "question", "personal_milestone", "promotional", "show_and_tell")
-TRANSFER_TYPES = ("opinion", "question")
+TRANSFER_TYPES = ("opinion", "news_reaction")
 DOMAIN_REPAIRS = {
     "Hardware": "Other", "Product & Strategy": "Business & Strategy", "Product": "Business & Strategy", "Cloud & Infrastructure": "Software Engineering", "Design & Management": "Leadership & Management", "Promotional": "Other", "Customer Support": "Other",
     "Product Manager": "Business & Strategy", "Product Leadership": "Business & Strategy", "Product Leadership Audience Room": "Business & Strategy", "Engineering": "Software Engineering", "DevOps": "Software Engineering", "Product Management": "Business & Strategy",
