@@ -51,7 +51,17 @@ def _no_constant(name: str):
     raise ValueError(name)
 
 
-_DECODER = json.JSONDecoder(parse_constant=_no_constant)
+class _Decoder(json.JSONDecoder):
+    """Strict JSON; can be sent to executors."""
+
+    def __init__(self) -> None:
+        super().__init__(parse_constant=_no_constant)
+
+    def __reduce__(self):
+        return _Decoder, ()
+
+
+_DECODER = _Decoder()
 
 
 def scalar(value) -> str | None:
