@@ -14,6 +14,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import cut_lineage
+
 #: A word or CJK character; an end of sentence; a line break.
 _TOKEN = re.compile(r"[぀-ヿ㐀-鿿]|[^\W_぀-ヿ㐀-鿿]+(?:['’-][^\W_぀-ヿ㐀-鿿]+)*|[.!?。！？…]+|\n")
 _CERTAIN_MARK = re.compile(r"\s*(?:\[\s*(?:\.\.\.|…|truncated|cut off|cut|continued|more)\s*\]|\(\s*(?:\.\.\.|…|truncated)\s*\)|(?:\.\.\.|…)\s*(?:(?:read|see|show|view)\s)?(?:more|continue reading)\W*|<truncated>)$", re.I)
@@ -126,8 +128,9 @@ def find_truncated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     (ends in a comma, dash or bracket). Null sources are a source of their own. Texts of any length are read whole; ids may repeat.
     """
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
-    ends = _endings(docs)
-    counts = _counts(docs)
+    # both are read by several joins below; written once, they aren't made again for each
+    ends = cut_lineage(_endings(docs))
+    counts = cut_lineage(_counts(docs))
     words = counts.where(~F.col("gram").contains(" ") & (F.col("inside") + F.col("ends") > 0)).select(F.col("gram").alias("word"))
     # the trie's nodes that matter: the prefixes that are final tokens
     finals = ends.where("last is not null").select(F.col("last").alias("word")).distinct()
