@@ -81,7 +81,7 @@ _PLACEHOLDER = re.compile(
     | %%[A-Za-z_]{{3,}}%% | (?<![\w%])%[A-Z_]*(?i:{_FIELD})[A-Z_]*%(?![\w%]) | (?<![\w%])%[a-z]*_[a-z_]+%(?![\w%]) | (?<!\w)__[A-Z][A-Z0-9_]*?__(?!\w)
     | \[\[[A-Za-z][\w .-]{{1,40}}\]\] | \bTBD_[A-Z_]+ | \bX{{3,}}\s*\([a-z][\w ]*\)
     | \[(?:(?i:your|insert|add|enter|link|name|job|event|company|product|date|team|city|topic|metric|author|role|headline|industry|first|last|user|start|title|recipient|client|customer|position|location|hashtag|quote|number)\b)[A-Za-z _/-]{{0,40}}\](?!\()
-    | <(?:(?i:your|insert|add|enter|name|job|event|company|product|date|team|city|topic|metric|author|role|headline|industry|first|last|user|recipient|client|customer|position|location|start)\b)[A-Za-z _-]{{0,40}}>
+    | <(?:(?i:your|insert|add|enter|link\ to|name|job|event|company|product|date|team|city|topic|metric|author|role|headline|industry|first|last|user|recipient|client|customer|position|location|start)\b)[A-Za-z _-]{{0,40}}>
     """,
     re.X,
 )
