@@ -144,7 +144,8 @@ def schema_graph(df: DataFrame, json_col: str) -> DataFrame:
             for text in batch.iloc[:, 0]:
                 if (value := parse(text)) is not None:
                     _edges(value, found)
-        yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["parent", "label", "repeated", "n"])
+        if found:
+            yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["parent", "label", "repeated", "n"])
 
     parts = df.select(json_col).mapInPandas(sum_up, "parent string, label string, repeated boolean, n bigint")
     return parts.groupBy("parent", "label", "repeated").agg(F.sum("n").alias("n"))
@@ -259,7 +260,8 @@ def shred(
                     if (tables is None or label in tables) and (name is not None or not only_entities):
                         for c, x in zip(out, (record, row, label, parent, parent_table, ordinal, key, name, own, ref, cols if with_cols else None)):
                             c.append(x)
-            yield pd.DataFrame(dict(zip([x.split()[0] for x in ROWS.replace("map<string,string>", "map").split(", ")], out))).astype({"parent_row": "Int64"})
+            if out[0]:
+                yield pd.DataFrame(dict(zip([x.split()[0] for x in ROWS.replace("map<string,string>", "map").split(", ")], out))).astype({"parent_row": "Int64"})
 
     return df.select(F.col(id_col).cast("bigint"), F.col(json_col)).mapInPandas(run, ROWS)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import non_latin_share, strip, text_or_empty
@@ -38,23 +40,24 @@ def scope_rooms(spark: SparkSession, d: str) -> DataFrame:
     return in_scope(posts).groupBy((F.coalesce("scope_reason", F.lit("")) != "room").alias("listed")).agg(F.count("*").alias("posts"))
 
 
-def _repeats(spark: SparkSession, d: str, keys, keep=F.lit(True)) -> DataFrame:
+def _repeats(spark: SparkSession, d: str, keys: Callable, keep: Callable | None = None) -> DataFrame:
     posts = table(spark, d, "posts_filtered").select("idx", strip(text_or_empty("profile_id")).alias("profile"), strip(text_or_empty("post_text")).alias("text"))
-    ranked = posts.where(F.length("text") > 0).where(keep).withColumn("n", first_seen_rank(keys, []))
+    posts = posts.where(F.length("text") > 0)
+    ranked = (posts.where(keep()) if keep else posts).withColumn("n", first_seen_rank(keys(), []))
     return ranked.where("n > 1").select("idx")
 
 
 def within_author_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    return _repeats(spark, d, [F.col("profile"), F.md5("text")])
+    return _repeats(spark, d, lambda: [F.col("profile"), F.md5("text")])
 
 
 def cross_author_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    return _repeats(spark, d, [F.md5("text")])
+    return _repeats(spark, d, lambda: [F.md5("text")])
 
 
 def prefix_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    prefix = strip(F.lower(F.substring("text", 1, 100)))
-    return _repeats(spark, d, [prefix], F.length(prefix) >= 50)
+    prefix = lambda: strip(F.lower(F.substring("text", 1, 100)))
+    return _repeats(spark, d, lambda: [prefix()], lambda: F.length(prefix()) >= 50)
 
 
 def non_latin_posts(spark: SparkSession, d: str) -> DataFrame:
