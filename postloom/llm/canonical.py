@@ -296,7 +296,8 @@ def map_values(df: DataFrame, id_col: str, domain_col: str, value_col: str, voca
                         seen.clear()
                     seen[d, value] = matchers[d].find(value)
                 out.append((i, *seen[d, value]))
-            yield pd.DataFrame(out, columns=[id_col, "vocab_id", "how"])
+            if out:
+                yield pd.DataFrame(out, columns=[id_col, "vocab_id", "how"])
 
     lean = df.select(F.col(id_col), F.col(domain_col), F.col(value_col))
     return lean.mapInPandas(run, f"`{id_col}` {dict(lean.dtypes)[id_col]}, vocab_id bigint, how string")

@@ -317,7 +317,8 @@ def find_segments(df: DataFrame, id_col: str, text_col: str, lang_col: str, mode
         for batch in batches:
             ids, labels = batch.iloc[:, 0].tolist(), [label_code(x) for x in batch.iloc[:, 2]]
             out = [(ids[k], labels[k], *rest) for k, *rest in _segments(model, batch.iloc[:, 1].tolist())]
-            yield pd.DataFrame(out, columns=[id_col, "label", "segment", "lang_code", "confidence", "ambiguous", "sentences", "words"])
+            if out:
+                yield pd.DataFrame(out, columns=[id_col, "label", "segment", "lang_code", "confidence", "ambiguous", "sentences", "words"])
 
     return lean.mapInPandas(run, f"`{id_col}` {dict(lean.dtypes)[id_col]}, label string, segment int, lang_code string, confidence double, ambiguous boolean, sentences int, words int")
 

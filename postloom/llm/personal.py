@@ -196,7 +196,8 @@ def name_lexicon(df: DataFrame, name_col: str, least: int = 3) -> bytes:
             if len(found) > 200_000:
                 yield pd.DataFrame(list(found.items()), columns=["k", "n"])
                 found.clear()
-        yield pd.DataFrame(list(found.items()), columns=["k", "n"])
+        if found:
+            yield pd.DataFrame(list(found.items()), columns=["k", "n"])
 
     names = df.select(F.translate(name_col, "’", "'").alias("name")).mapInPandas(parts, "k string, n bigint").groupBy("k").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     h = F.xxhash64("k")
@@ -434,6 +435,7 @@ def find_personal(df: DataFrame, id_col: str, text_col: str, name_col: str, lexi
                     rows.append((i, redacted(text, a), redacted(name, b)))
                 else:
                     rows += [(i, text_col, k) for k in sorted({x[2] for x in a})] + [(i, name_col, k) for k in sorted({x[2] for x in b})]
-            yield pd.DataFrame(rows, columns=[id_col, text_col, name_col] if redact else [id_col, "field_name", "kind"])
+            if rows:
+                yield pd.DataFrame(rows, columns=[id_col, text_col, name_col] if redact else [id_col, "field_name", "kind"])
 
     return lean.mapInPandas(run, f"`{id_col}` {kind_of_id}, `{text_col}` string, `{name_col}` string" if redact else f"`{id_col}` {kind_of_id}, field_name string, kind string")

@@ -156,7 +156,8 @@ def find_residue(df: DataFrame, id_col: str, text_col: str, phrases: dict[str, t
         automaton = build_automaton(phrases)
         for batch in batches:
             judged = [(i, *judge(t, automaton, least)) for i, t in zip(batch.iloc[:, 0], batch.iloc[:, 1])]
-            yield pd.DataFrame([x for x in judged if x[1]], columns=["i", "reason", "coverage"]).rename(columns={"i": id_col})
+            if found := [x for x in judged if x[1]]:
+                yield pd.DataFrame(found, columns=[id_col, "reason", "coverage"])
 
     lean = df.select(F.col(id_col), F.col(text_col))
     return lean.mapInPandas(run, f"`{id_col}` {dict(lean.dtypes)[id_col]}, reason string, coverage double")

@@ -71,7 +71,8 @@ def _endings(docs: DataFrame) -> DataFrame:
                 if text is not None and text.strip():
                     state, last, grams = ending(text)
                     out.append((i, source, len(text), state, last, *(grams or [None] * 4)))
-            yield pd.DataFrame(out, columns=[x.split()[0] for x in ENDINGS.split(", ")])
+            if out:
+                yield pd.DataFrame(out, columns=[x.split()[0] for x in ENDINGS.split(", ")])
 
     return docs.mapInPandas(run, ENDINGS)
 
@@ -104,7 +105,8 @@ def _counts(docs: DataFrame) -> DataFrame:
                         found.setdefault(gram, [0, 0, 0])[at] += 1
                 if len(found) > _FLUSH:
                     yield flush()
-        yield flush()
+        if found:
+            yield flush()
 
     parts = docs.select("text").mapInPandas(run, "gram string, inside bigint, ends bigint, last bigint")
     return parts.groupBy("gram").agg(*(F.sum(c).alias(c) for c in ("inside", "ends", "last")))
