@@ -44,7 +44,7 @@ def _round(c: DataFrame) -> DataFrame:
         joined = c.join(least.select("v", "m"), "v")
     else:  # hot vertices are fewer than rows / HOT, so this broadcast stays small: 5,000 rows for a billion rows
         salted = c.join(F.broadcast(hot), "v", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("u"), F.col("salts"))).otherwise(F.lit(0)))
-        spread = least.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)).cast("bigint"))
+        spread = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), (salts - 1).cast("bigint"))))
         joined = salted.join(spread.select("v", "salt", "m"), ["v", "salt"])
     sent = joined.select(F.explode(F.array(F.struct(F.col("m").alias("v"), "u"), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("x"))
     return sent.select("x.v", "x.u").distinct()
