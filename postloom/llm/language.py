@@ -61,7 +61,7 @@ _NOT_TEXT = re.compile(r"https?://\S+|www\.\S+|\S+@\S+|(?<!\w)[#@]\w\S*|</?[A-Za
 _CODE_LINE = re.compile(r"^\s*(?:Traceback \(most|File \"|[\w.]*Error: |(?:select|insert|update|delete)\s.*(?:;|from)|(?:kubectl|git|docker|npm|pip|make|curl|for|def|import|print)\b.*[|(&:=-]).*$", re.I | re.M)
 _CODE_MARKS = (" | ", ");", "Traceback", "Error:", " = ", "(*)", "&&", "File \"", "';", " -n ")
 _WIDE = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
-_KEYS = frozenset("asdf asdfasdf asdfgh qwerty qwer asd sdf dfg xxx xxxx blah foo bar baz lorem ipsum undefined null nan none nil object".split())
+_KEYS = frozenset("asdf asdfasdf asdfgh qwerty qwer asd sdf dfg xxx xxxx blah foo bar baz lorem ipsum undefined null nan none nil object likes comments shares".split())
 _CAPITAL = re.compile(r"[A-ZÀ-ÞА-Я\d]")
 _NO_PROSE = LOREM | _KEYS
 _FILLER = _NO_PROSE - frozenset("in do sit id est ad et ut sed non a qui sunt ex ea nisi anim".split())
@@ -90,7 +90,7 @@ def sentences(text: str | None, least: int = 3) -> list[str]:
             continue
         if len(words) < least:
             continue
-        if len(words) > 5 and len(_CAPITAL.findall(s)) <= 0.4 * len(words) and _FILLER.isdisjoint(words):
+        if len(words) > 5 and (s.isascii() or s.lower() != s.upper()) and len(_CAPITAL.findall(s)) <= 0.4 * len(words) and _FILLER.isdisjoint(words):
             out.append(s)
             continue
         heads = "".join([w[0] if len(w) == 1 or w[0].isalpha() else w[1] for w in words])
@@ -279,7 +279,7 @@ def _segments(model: Model, texts: list[str | None]) -> Iterator[tuple[int, int,
         if len(set(best[start:end])) == 1 and not any(doubtful[start:end]):  # the usual case
             yield row, 0, names[best[start]], sum(sure[start:end]) / len(own), False, len(own), sum([len(s.split()) for s in flat[start:end]])
             continue
-        if all(doubtful[start:end]) and sum([len(s.split()) for s in flat[start:end]]) < 8:
+        if max(sure[start:end]) < 0.45 and all(doubtful[start:end]) and sum([len(s.split()) for s in flat[start:end]]) < 8:
             continue  # a few words that no language claims aren't prose
         total: Counter = Counter()
         for i in own:
