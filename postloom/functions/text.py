@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+#: All characters that are white space.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: A character beyond U+024F, mathematical letters aside.
+BEYOND_LATIN = r"[^\x{0000}-\x{024F}\x{1D400}-\x{1D7FF}]"
+
+
 def strip(c: Column | str) -> Column:
     """Without white space at either end."""
-    return F.regexp_replace(F.col(c) if isinstance(c, str) else c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(F.col(c) if isinstance(c, str) else c, F.lit(WHITE))
 
 
 def text_or_empty(c: Column | str) -> Column:
@@ -33,7 +39,7 @@ def number(c: Column | str) -> Column:
 def non_latin_share(c: Column) -> Column:
     """The share of words that hold a character beyond U+024F (mathematical letters aside); null below one word."""
     w = words(c)
-    foreign = F.size(F.filter(w, lambda x: x.rlike(r"[^\x{0000}-\x{024F}\x{1D400}-\x{1D7FF}]")))
+    foreign = F.size(F.filter(w, lambda x: x.rlike(BEYOND_LATIN)))
     return F.when(F.size(w) > 0, foreign / F.size(w))
 
 

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import non_latin_share, number, strip, text_or_empty, words
+from ..functions.text import BEYOND_LATIN, non_latin_share, number, strip, text_or_empty, words
 
 # Marks of removed texts, names of bots, patterns, subreddits and rooms.
 REMOVED = ("[removed]", "[deleted]", "removed", "deleted", "[ removed by moderator ]", "[ removed by reddit ]", "[ deleted by user ]", "[ removed ]", "[ deleted ]")
@@ -78,22 +78,26 @@ def clean(df: DataFrame) -> DataFrame:
     Needs idx (arrival order, unique), post_text, platform, profile_id, author_name, subreddit, raw_post_json, all text but idx. Nulls count
     as empty texts. Repeats are ranked by idx; a blank profile is one profile.
     """
-    record = F.try_parse_json("raw_post_json")
-    text0 = strip(text_or_empty("post_text"))
-    title = _json_text(record, "$.title", "$.post_details.title")
-    salvaged = F.when(~F.lower(strip(title)).isin("[removed]", "[deleted]", ""), strip(title))
-    removed = F.lower(text0).isin(*REMOVED)
-    author_type = F.lower(strip(F.coalesce(_json_text(record, "$.authorType", "$.author_type", "$.observationType"), F.try_variant_get(record, "$.author.type", "string"), F.lit(""))))
-    base = df.select(
-        "*", F.coalesce(F.when(removed, F.coalesce(salvaged, text0)), text0).alias("_text"), (removed & salvaged.isNull()).alias("_removed"), author_type.alias("_author_type"),
-        F.lower(strip(text_or_empty("platform"))).alias("_platform"), strip(text_or_empty("profile_id")).alias("_profile"), strip(text_or_empty("author_name")).alias("_author"), strip(text_or_empty("subreddit")).alias("_sub"),
+    first = df.select(
+        "*", strip(text_or_empty("post_text")).alias("_text0"), F.lower(strip(text_or_empty("platform"))).alias("_platform"),
+        strip(text_or_empty("profile_id")).alias("_profile"), strip(text_or_empty("author_name")).alias("_author"), strip(text_or_empty("subreddit")).alias("_sub"),
     )
+    # a record is parsed once, and only where its title or author type is asked for
+    gone = F.lower("_text0").isin(*REMOVED)
+    parsed = first.withColumn("_gone", gone).withColumn("_record", F.when(F.col("_gone") | (F.col("_platform") == "linkedin"), F.try_parse_json("raw_post_json")))
+    record = F.col("_record")
+    read = parsed.select(
+        *(c for c in parsed.columns if c != "_record"), strip(_json_text(record, "$.title", "$.post_details.title")).alias("_title"),
+        F.lower(strip(F.coalesce(_json_text(record, "$.authorType", "$.author_type", "$.observationType"), F.try_variant_get(record, "$.author.type", "string"), F.lit("")))).alias("_author_type"),
+    )
+    salvaged = F.when(F.col("_gone") & ~F.lower("_title").isin("[removed]", "[deleted]", ""), F.col("_title"))
+    base = read.withColumns({"_text": F.coalesce(salvaged, "_text0"), "_removed": F.col("_gone") & salvaged.isNull()})
     t, linkedin = F.col("_text"), F.col("_platform") == "linkedin"
     no_urls = F.regexp_replace(t, r"(?i)https?://\S+", "")
     phases = [
         [
             Rule("removed", F.col("_removed")), Rule("bot_account", F.col("_author").isin(*BOTS), F.col("_author")), Rule("automod_text", t.rlike(f"(?iu){AUTOMOD}")), Rule("url_only", t.rlike(r"^https?://\S+$")),
-            Rule("too_short", F.length(t) < MIN_LENGTH, F.length(t).cast("string")), Rule("non_english", (F.size(words(t)) >= 5) & (non_latin_share(t) > NON_LATIN)),
+            Rule("too_short", F.length(t) < MIN_LENGTH, F.length(t).cast("string")), Rule("non_english", t.rlike(BEYOND_LATIN) & (F.size(words(t)) >= 5) & (non_latin_share(t) > NON_LATIN)),
         ],
         [Rule("personal_milestone", linkedin & t.rlike(f"(?iu){MILESTONE}")), Rule("company_author", linkedin & ~F.col("_author_type").isin("", "person", "individual"), F.col("_author_type"))],
         [],
@@ -115,7 +119,7 @@ def clean(df: DataFrame) -> DataFrame:
         out = out.withColumn("drop_reason", F.coalesce(F.col("drop_reason"), reason))
         if rules:
             out = out.withColumn("drop_reason", F.coalesce("drop_reason", *(r.reason() for r in rules)))
-    return out.drop("_removed", "_author_type", "_platform", "_profile", "_author", "_sub")
+    return out.drop("_removed", "_author_type", "_platform", "_profile", "_author", "_sub", "_text0", "_title", "_gone")
 
 
 def first_seen_rank(keys: list[Column], alive: list[Column], order: str = "idx") -> Column:
