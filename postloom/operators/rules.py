@@ -92,18 +92,20 @@ def clean(df: DataFrame) -> DataFrame:
     )
     salvaged = F.when(F.col("_gone") & ~F.lower("_title").isin("[removed]", "[deleted]", ""), F.col("_title"))
     base = read.withColumns({"_text": F.coalesce(salvaged, "_text0"), "_removed": F.col("_gone") & salvaged.isNull()})
-    t, linkedin = F.col("_text"), F.col("_platform") == "linkedin"
+    # the patterns are in lower case and match the lower-cased text, which is far cheaper than folding case at each place
+    base = base.withColumn("_low", F.lower("_text"))
+    t, low, linkedin = F.col("_text"), F.col("_low"), F.col("_platform") == "linkedin"
     no_urls = F.regexp_replace(t, r"(?i)https?://\S+", "")
     phases = [
         [
-            Rule("removed", F.col("_removed")), Rule("bot_account", F.col("_author").isin(*BOTS), F.col("_author")), Rule("automod_text", t.rlike(f"(?iu){AUTOMOD}")), Rule("url_only", t.rlike(r"^https?://\S+$")),
+            Rule("removed", F.col("_removed")), Rule("bot_account", F.col("_author").isin(*BOTS), F.col("_author")), Rule("automod_text", low.rlike(AUTOMOD)), Rule("url_only", t.rlike(r"^https?://\S+$")),
             Rule("too_short", F.length(t) < MIN_LENGTH, F.length(t).cast("string")), Rule("non_english", t.rlike(BEYOND_LATIN) & (F.size(words(t)) >= 5) & (non_latin_share(t) > NON_LATIN)),
         ],
-        [Rule("personal_milestone", linkedin & t.rlike(f"(?iu){MILESTONE}")), Rule("company_author", linkedin & ~F.col("_author_type").isin("", "person", "individual"), F.col("_author_type"))],
+        [Rule("personal_milestone", linkedin & low.rlike(MILESTONE)), Rule("company_author", linkedin & ~F.col("_author_type").isin("", "person", "individual"), F.col("_author_type"))],
         [],
         [
-            Rule("link_title", t.rlike(r"(?i)https?://\S+") & (F.length(strip(no_urls)) < LINK_TITLE)), Rule("engagement", t.rlike(f"(?iu){ENGAGEMENT}") & (F.length(t) < SHORT_ENGAGEMENT)),
-            Rule("corporate_job", F.substring(t, 1, 200).rlike(f"(?iu){CORPORATE_JOB}") & ~F.substring(t, 1, 100).rlike(f"(?iu){PERSONAL_JOB}")), Rule("blocked_subreddit", (F.col("_platform") == "reddit") & F.col("_sub").isin(*BLOCKED_SUBREDDITS), F.col("_sub")),
+            Rule("link_title", low.rlike(r"https?://\S+") & (F.length(strip(no_urls)) < LINK_TITLE)), Rule("engagement", low.rlike(ENGAGEMENT) & (F.length(t) < SHORT_ENGAGEMENT)),
+            Rule("corporate_job", F.substring(low, 1, 200).rlike(CORPORATE_JOB) & ~F.substring(low, 1, 100).rlike(PERSONAL_JOB)), Rule("blocked_subreddit", (F.col("_platform") == "reddit") & F.col("_sub").isin(*BLOCKED_SUBREDDITS), F.col("_sub")),
         ],
     ]
     prefix = strip(F.lower(F.substring(t, 1, PREFIX)))
@@ -119,7 +121,7 @@ def clean(df: DataFrame) -> DataFrame:
         out = out.withColumn("drop_reason", F.coalesce(F.col("drop_reason"), reason))
         if rules:
             out = out.withColumn("drop_reason", F.coalesce("drop_reason", *(r.reason() for r in rules)))
-    return out.drop("_removed", "_author_type", "_platform", "_profile", "_author", "_sub", "_text0", "_title", "_gone")
+    return out.drop("_removed", "_author_type", "_platform", "_profile", "_author", "_sub", "_text0", "_title", "_gone", "_low")
 
 
 def first_seen_rank(keys: list[Column], alive: list[Column], order: str = "idx") -> Column:
