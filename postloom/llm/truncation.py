@@ -21,8 +21,17 @@ _TOKEN = re.compile(r"[぀-ヿ㐀-鿿]|[^\W_぀-ヿ㐀-鿿]+(?:['’-][^\W_぀-
 _CERTAIN_MARK = re.compile(r"\s*(?:\[\s*(?:\.\.\.|…|truncated|cut off|cut|continued|more)\s*\]|\(\s*(?:\.\.\.|…|truncated)\s*\)|(?:\.\.\.|…)\s*(?:(?:read|see|show|view)\s)?(?:more|continue reading)\W*|<truncated>)$", re.I)
 _OPEN_MARK = re.compile(r"\s*(?:…|\.{3,})$")
 _ENTITY = re.compile(r"&(?:a|am|amp|l|lt|g|gt|q|qu|quo|quot|n|nb|nbs|nbsp|ap|apo|apos|#x?[0-9a-f]*)$")
-_LINK_OR_TAG = re.compile(r"(?:https?://\S*|www\.\S*|\S+@\S+\.\S+|[#@]\S+)$", re.I)
-_CODE = re.compile(r"\s--?[A-Za-z]\w*\b.*$|\|\s*\w+|&&|[{};]\s*$|\w\(\)")
+#: Of a single token: a link; the host of an address; a tag; an option; the beginning of a link.
+_LINK = re.compile(r"https?://(\S*)$|(www\.\S*)$", re.I)
+_MAIL = re.compile(r"[^\s@]@([^\s@]+)$")
+_TAG = re.compile(r"([#@][^\s#@]+)$")
+_OPTION = re.compile(r"--?[A-Za-z]\w[\w-]*$")
+_SCHEME = re.compile(r"https?:/{0,2}$", re.I)
+_SPECIAL = re.compile(r"://|[@#]|www\.|(?<!\S)--?[A-Za-z]", re.I)
+_CLOSING = ".,;:!?)]}>\"'»”’。！？、"
+_CODE_END = re.compile(r"[{};]$|\w\(\)$|(?<!\S)-[A-Za-z]$")
+#: A row of a table that a bar opened and none closed; pipelines don't begin with a bar.
+_OPEN_ROW = re.compile(r"(?:^|[.!?:。！？]\s+)\|[^|]+(?:\|[^|]*)*\|\s*[^|\s][^|]*$")
 _COUNT = re.compile(r"\(?\d+\s*/\s*\d+\)?$")
 _WORD_END = re.compile(r"[^\W_]$")
 _DANGLING = re.compile(r"[,;(/&+=<{\[–—-]$")
@@ -43,9 +52,43 @@ def _grams(run: list[str]) -> list[str]:
     return [" ".join(padded[-n:]) for n in ORDERS]
 
 
+def _key(token: str) -> str | None:
+    """What stands for a link, address, tag or option in the vocabulary, None for other tokens. No key is a word."""
+    t = token.rstrip(_CLOSING)
+    if m := _LINK.search(t):
+        return "//" + (m[1] if m[1] is not None else m[2]).lower().rstrip("/")
+    if m := _MAIL.search(t):
+        return "//" + m[1].lower()
+    if m := _TAG.search(t):
+        return m[1].lower()
+    return t if _OPTION.match(t) else None
+
+
+def _known_keys(text: str) -> Iterator[str]:
+    """The keys a stripped text shows to be whole: hosts and their domains, the starts of paths up to each delimiter, tags and options. Of its
+    last token only what a delimiter ends."""
+    tokens = text.split() if _SPECIAL.search(text) else []
+    for k, token in enumerate(tokens, 1):
+        if not _SPECIAL.search(token) or (key := _key(token)) is None:
+            continue
+        if not key.startswith("//"):
+            if k < len(tokens):
+                yield key
+            continue
+        stops = [d.start() for d in re.finditer(r"[/?#=&]", key)][2:]
+        if stops or k < len(tokens):
+            labels = key[2 : stops[0] if stops else None].split(".")
+            for n in range(max(1, len(labels) - 1)):
+                yield "//" + ".".join(labels[n:])
+        for stop in stops:
+            if start := key[: stop + 1].rstrip("/"):
+                yield start
+
+
 def ending(text: str) -> tuple[str, str | None, list[str]]:
     """(state, last word, grams) of a text that isn't blank. States: cut (a certain mark or a broken character), done (ends as texts may
-    end), open (ends in a word), mark (a word and an ellipsis), hanging (ends in a comma or the like)."""
+    end), open (ends in a word), mark (a word and an ellipsis), hanging (ends in a comma or the like, in an open row of a table or in a link's
+    beginning). If the last token is a link, address, tag or option, the state is done and the last word its key."""
     t = text.rstrip()
     if t.endswith("�") or _ENTITY.search(t) or _CERTAIN_MARK.search(t):
         return "cut", None, []
@@ -53,7 +96,17 @@ def ending(text: str) -> tuple[str, str | None, list[str]]:
     if m := _OPEN_MARK.search(t):
         t, state = t[: m.start()].rstrip(), "mark"
     line = t.rpartition("\n")[2]
-    if _LINK_OR_TAG.search(line) or _COUNT.search(line) or line.count("`") >= 2 or line.startswith("```") or _CODE.search(line):
+    tail = line.split()[-1] if line.strip() else ""
+    if _SCHEME.search(tail):
+        return "hanging", None, []
+    if _COUNT.search(line) or line.startswith("```") or (line.endswith("`") and line.count("`") % 2 == 0):
+        return "done", None, []
+    if key := _key(tail):
+        return ("hanging" if key.startswith("//") and key[-1] in "=&" else "done"), key, []
+    if _OPEN_ROW.search(line):
+        above = t[: len(t) - len(line)].rstrip("\n").rpartition("\n")[2].strip()
+        return ("done" if above.startswith("|") and not above.endswith("|") else "hanging"), None, []
+    if _CODE_END.search(line):
         return "done", None, []
     if not _WORD_END.search(t):
         return ("hanging" if state == "open" and _DANGLING.search(t) else "done"), None, []
@@ -79,7 +132,7 @@ def _endings(docs: DataFrame) -> DataFrame:
 
 def _counts(docs: DataFrame) -> DataFrame:
     """gram, inside, ends, last: how often words of each order were followed by more, by an end of sentence or line, and by the end of
-    the text, over all documents."""
+    the text, over all documents. Whole links, tags and options have rows by their keys."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[str, list[int]] = {}
@@ -93,7 +146,10 @@ def _counts(docs: DataFrame) -> DataFrame:
             for text in batch.iloc[:, 0]:
                 if text is None:
                     continue
-                tokens = _TOKEN.findall(text.rstrip())
+                text = text.rstrip()
+                for key in _known_keys(text):
+                    found.setdefault(key, [0, 0, 0])[0] += 1
+                tokens = _TOKEN.findall(text)
                 run_: list[str] = []
                 for k, token in enumerate(tokens):
                     if not token[0].isalnum():
@@ -125,9 +181,9 @@ def length_limits(docs: DataFrame, slack: int = 8, least: int = 10, times: float
 def find_truncated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", least_end: float = 0.2, slack: int = 8) -> DataFrame:
     """id_col, source, cut (boolean), reason for each document whose text isn't null or blank.
 
-    Reasons: mark (a certain mark or a broken character), prefix (an unknown final token that begins a known word), sentence (the last
+    Reasons: mark (a certain mark or a broken character), prefix (an unknown final token that begins a known word, host, path, tag or option), sentence (the last
     words end a sentence in less than least_end of their other occurrences), length (not at an end of sentence, at the source's limit), hanging
-    (ends in a comma, dash or bracket). Null sources are a source of their own. Texts of any length are read whole; ids may repeat.
+    (ends in a comma, dash or bracket, a table's open row or a link's beginning). Null sources are a source of their own. Texts of any length are read whole; ids may repeat.
     """
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
     # both are read by several joins below; written once, they aren't made again for each
@@ -161,9 +217,11 @@ def find_truncated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     reason = (
         F.when(F.col("state") == "cut", "mark")
         .when(in_word & (F.col("is_prefix") | F.col("is_pair_prefix")), "prefix")
+        .when((F.col("state") == "done") & F.col("is_prefix"), "prefix")
         .when((F.col("state") == "hanging"), F.lit("hanging"))
         .when(in_word & F.col("is_unknown").isNull() & (F.col("p_end") < least_end), "sentence")
         .when((F.col("state") == "open") & full & (F.coalesce("p_end", F.lit(0.0)) < 0.9), "length")
+        .when((F.col("state") == "done") & full & F.col("is_unknown"), "length")
     )
     return j.select(F.col("id").alias(id_col), "source", reason.isNotNull().alias("cut"), reason.alias("reason"))
 

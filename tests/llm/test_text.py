@@ -87,3 +87,11 @@ def test_truncation(spark):
     assert {r.doc_id for r in got.where("cut").collect()} == {50, 52, 53, 57} and got.count() == 27
     assert {r.source: r.cut for r in truncation_rates(got).collect()} == {"a": 2, None: 1, "b": 2}
     assert find_truncated(df.limit(0)).count() == 0 and ending("see https://a.example/b")[0] == "done"
+
+
+def test_truncation_inside_links_and_tables(spark):
+    whole = "We read https://docs.veltrix.example/a/one and https://blog.northfen.example/two first. Ask #leadership or #teams about due dates. Run make with --verbose on staging."
+    cut = [whole + x for x in (" More: https://docs.veltr", " Background at https://northf", " See https:", " | stage | owner | du", " Ask #leader", " Run make with --verb", " Use `make build` on stag", " Run make -n stag", " Write to ann@docs.velt")]
+    done = [whole + x for x in (" More: https://docs.veltrix.example/a/three", " See https://docs.veltrix.example/a", " See https://blog.northfen.example", " Ask #teams", " kubectl get pods | wc -l", " Use `make build`", "\n| stage | owner |", " Run make with --verbose", " See https://other.example/x")]
+    df = spark.createDataFrame([(i, t, "a") for i, t in enumerate([*cut, *done, whole])], "doc_id bigint, text string, source string")
+    assert sorted(r.doc_id for r in find_truncated(df).where("cut").collect()) == list(range(len(cut)))
