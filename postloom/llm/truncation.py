@@ -2,7 +2,7 @@
 
 The corpus' vocabulary is kept as a trie in relational form: a node is a prefix, a row of the table of proper prefixes of known words. A
 final token that is no known word but a node of the trie was cut within a word. Cuts between words show in the corpus' counts of how
-often the last words of the text end a sentence, and in lengths piled up at a source's limit. All counts cover all documents; they are
+often the last words of the text end a sentence, and in lengths piled up at a source's limit. All counts cover all distinct texts; they are
 summed map-side, and every look-up is a join, so nothing grows on the driver or in a broadcast.
 """
 
@@ -35,6 +35,7 @@ _OPEN_ROW = re.compile(r"(?:^|[.!?:。！？]\s+)\|[^|]+(?:\|[^|]*)*\|\s*[^|\s][
 _COUNT = re.compile(r"\(?\d+\s*/\s*\d+\)?$")
 _WORD_END = re.compile(r"[^\W_]$")
 _DANGLING = re.compile(r"[,;(/&+=<{\[–—-]$")
+_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 ORDERS = (4, 3, 2, 1)
 _FLUSH = 200_000
 
@@ -132,7 +133,8 @@ def _endings(docs: DataFrame) -> DataFrame:
 
 def _counts(docs: DataFrame) -> DataFrame:
     """gram, inside, ends, last: how often words of each order were followed by more, by an end of sentence or line, and by the end of
-    the text, over all documents. Whole links, tags and options have rows by their keys."""
+    the text, over all distinct texts: copies of a text are no evidence for one another. Whole links, tags and options have rows by their
+    keys."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[str, list[int]] = {}
@@ -164,7 +166,8 @@ def _counts(docs: DataFrame) -> DataFrame:
         if found:
             yield flush()
 
-    parts = docs.select("text").mapInPandas(run, "gram string, inside bigint, ends bigint, last bigint")
+    distinct = docs.select(F.rtrim("text", F.lit(_SPACES)).alias("text")).distinct()
+    parts = distinct.mapInPandas(run, "gram string, inside bigint, ends bigint, last bigint")
     return parts.groupBy("gram").agg(*(F.sum(c).alias(c) for c in ("inside", "ends", "last")))
 
 
@@ -203,7 +206,7 @@ def find_truncated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pair_nodes = asked_pairs.select("before", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda n: F.substring("word", F.lit(1), n))).alias("word"))
     cut_pairs = unknown_pairs.join(pair_nodes, ["before", "word"], "left_semi").select(F.concat_ws(" ", "before", "word").alias("gram2"), F.lit(True).alias("is_pair_prefix"))
     known_not = unknown.select(F.col("word").alias("last"), F.lit(True).alias("is_unknown"))
-    # how often each document's last words end a sentence elsewhere: its own end is taken off
+    # how often each document's last words end a sentence in other texts: its own end is taken off, which stands for all its copies
     asked = ends.where("last is not null").select("gram4", "gram3", "gram2", "gram1").distinct()
     wanted = asked.select(F.explode(F.array("gram4", "gram3", "gram2", "gram1")).alias("gram")).distinct()
     told = counts.join(wanted, "gram", "left_semi").select("gram", (F.col("inside") + F.col("ends") + F.col("last") - 1).alias("total"), (F.col("ends") + F.col("last") - 1).alias("done"))

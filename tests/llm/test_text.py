@@ -95,3 +95,12 @@ def test_truncation_inside_links_and_tables(spark):
     done = [whole + x for x in (" More: https://docs.veltrix.example/a/three", " See https://docs.veltrix.example/a", " See https://blog.northfen.example", " Ask #teams", " kubectl get pods | wc -l", " Use `make build`", "\n| stage | owner |", " Run make with --verbose", " See https://other.example/x")]
     df = spark.createDataFrame([(i, t, "a") for i, t in enumerate([*cut, *done, whole])], "doc_id bigint, text string, source string")
     assert sorted(r.doc_id for r in find_truncated(df).where("cut").collect()) == list(range(len(cut)))
+
+
+def test_truncation_of_copies(spark):
+    whole = "The team moved the glossary to another quarter. Everything about the model is on one page."
+    inner = "Nobody asked why the glossary bot was slow last week."
+    cut = "It was simple. Nobody asked why the glossary bot was"
+    rows = [(i, f"{whole} Note {i} says it. {inner}", "a") for i in range(5)] + [(100 + i, cut + " " * (i % 3), "a") for i in range(60)] + [(200 + i, whole, "a") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    assert {r.doc_id for r in find_truncated(df).where("cut").collect()} == set(range(100, 160))
