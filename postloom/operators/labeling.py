@@ -49,10 +49,12 @@ def ask(model: Model, posts: list[dict], tries: int = 3, pause: float = 2.0) ->
     return []
 
 
-def label(posts: DataFrame, model: Model, done: DataFrame | None = None, size: int = 20, tries: int = 3, pause: float = 2.0, max_chars: int = 800) -> DataFrame:
+def label(posts: DataFrame, model: Model, done: DataFrame | None = None, size: int = 20, tries: int = 3, pause: float = 2.0, max_chars: int | None = None) -> DataFrame:
     """LABELS of the posts (idx, post_text) that aren't among the successes of done. status is ok, missing (no object with its id) or failed (no
-    answer); only ok rows count as done, so the others are tried again when resumed. Ids may come as text."""
-    todo = posts.select("idx", F.substring(text_or_empty("post_text"), 1, max_chars).alias("text"))
+    answer); only ok rows count as done, so the others are tried again when resumed. Ids may come as text. The model gets whole texts, or their
+    first max_chars characters if its prompt has a limit."""
+    text = text_or_empty("post_text")
+    todo = posts.select("idx", (text if max_chars is None else F.substring(text, 1, max_chars)).alias("text"))
     if done is not None:
         todo = todo.join(done.where("status = 'ok'").select("idx"), "idx", "left_anti")
 

@@ -55,7 +55,16 @@ def verdict_agreement(spark: SparkSession, d: str) -> DataFrame:
 KEYWORDS = {"model": "AI", "database": "Software Engineering", "salary": "Career", "quizzes": "EdTech", "credential": "Security", "warehouse": "Data & Analytics", "maintainer": "Open Source", "pricing": "Business & Strategy", "meeting": "Leadership & Management"}
 
 
+#: The reference's prompt has this many characters of a post, and so has the SQL of label_posts.
+PROMPT_CHARS = 800
+
+
 def label_posts(spark: SparkSession, d: str) -> DataFrame:
+    return B.label(table(spark, d, "posts_clean_v2"), B.rule_model(KEYWORDS), pause=0.0, max_chars=PROMPT_CHARS).select("idx", "topic_broad", "sentiment", "stance", "post_type", "status")
+
+
+def label_posts_whole(spark: SparkSession, d: str) -> DataFrame:
+    """As label_posts, of whole texts."""
     return B.label(table(spark, d, "posts_clean_v2"), B.rule_model(KEYWORDS), pause=0.0).select("idx", "topic_broad", "sentiment", "stance", "post_type", "status")
 
 
@@ -63,7 +72,7 @@ def resume_labels(spark: SparkSession, d: str) -> DataFrame:
     """The posts left when those of even ids are done."""
     posts = table(spark, d, "posts_clean_v2")
     done = posts.select("idx", F.when(F.col("idx") % 2 == 0, "ok").otherwise("failed").alias("status"))
-    return B.label(posts, B.rule_model(KEYWORDS), done, pause=0.0).select("idx", "status")
+    return B.label(posts, B.rule_model(KEYWORDS), done, pause=0.0, max_chars=PROMPT_CHARS).select("idx", "status")
 
 
 def label_batches(spark: SparkSession, d: str) -> DataFrame:
@@ -73,7 +82,7 @@ def label_batches(spark: SparkSession, d: str) -> DataFrame:
 def merged_labels(spark: SparkSession, d: str) -> DataFrame:
     """Posts with labels of those of even ids."""
     posts = table(spark, d, "posts_clean_v2").select("idx", "platform", "post_text")
-    labels = B.label(posts.where("idx % 2 = 0"), B.rule_model(KEYWORDS), pause=0.0)
+    labels = B.label(posts.where("idx % 2 = 0"), B.rule_model(KEYWORDS), pause=0.0, max_chars=PROMPT_CHARS)
     return B.merge_labels(posts, labels).select("idx", "platform", "topic_broad", "status")
 
 
@@ -100,7 +109,7 @@ def length_distance(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        anchor_signature, duplicate_merges, verdict_counts, suspicion_flags, known_case_check, merge_proposals, evaluation_sample, verdict_agreement, label_posts, resume_labels, label_batches, merged_labels, batch_mapping, top_percent_coverage, master_numbers, length_distance,
+        anchor_signature, duplicate_merges, verdict_counts, suspicion_flags, known_case_check, merge_proposals, evaluation_sample, verdict_agreement, label_posts, label_posts_whole, resume_labels, label_batches, merged_labels, batch_mapping, top_percent_coverage, master_numbers, length_distance,
     )
 }
 
@@ -152,3 +161,5 @@ s as (select audience, chars, sum(li) over w / sum(li) over (partition by audien
         sum(li) over (partition by audience) as n_li, sum(rd) over (partition by audience) as n_rd from v window w as (partition by audience order by chars))
 select audience, sum(abs(a - b) * coalesce(width, 0)) as distance from s where n_li > 0 and n_rd > 0 group by 1""",
 }
+
+SQL["label_posts_whole"] = SQL["label_posts"].replace("[1:800]", "")

@@ -164,6 +164,13 @@ def test_labelling_resumes(spark):
     assert merged.count() == 50 and merged.where("topic = 'UNCLASSIFIED'").count() == 50
 
 
+def test_labelling_reads_whole_texts(spark):
+    posts = spark.createDataFrame([(1, "word " * 400 + "about a database, is it bad ?")], "idx bigint, post_text string")
+    got = B.label(posts, B.rule_model({"database": "SE"}), pause=0.0).first()
+    assert (got.topic_broad, got.sentiment, got.post_type) == ("SE", "negative", "question")
+    assert B.label(posts, B.rule_model({"database": "SE"}), pause=0.0, max_chars=800).first().topic_broad == "Other"
+
+
 def test_empty_tables(spark):
     assert clean(spark.createDataFrame([], POST)).count() == 0
     empty = spark.createDataFrame([], "domain string, label string")
