@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.text import strip
 from ..operators import documented as D, labeling as B, merges as M
 from ..operators.cells import eligible, matrix
 from ..session import table
@@ -86,6 +87,19 @@ def merged_labels(spark: SparkSession, d: str) -> DataFrame:
     return B.merge_labels(posts, labels).select("idx", "platform", "topic_broad", "status")
 
 
+def resume_labels_tagged(spark: SparkSession, d: str) -> DataFrame:
+    """The posts left when those with a topic in the tagged table are done; UNCLASSIFIED marks failures, which are tried again."""
+    topic = F.lower(strip(F.col("topic")))
+    done = table(spark, d, "tagged_posts_v2_clean").select("idx", F.when(~F.coalesce(topic, F.lit("")).isin("", "unclassified"), "ok").otherwise("failed").alias("status"))
+    return B.label(table(spark, d, "posts_clean_v2"), B.rule_model(KEYWORDS), done, pause=0.0).select("idx", "status")
+
+
+def merged_labels_all(spark: SparkSession, d: str) -> DataFrame:
+    """Posts with the labels of all of them, of whole texts."""
+    posts = table(spark, d, "posts_clean_v2").select("idx", "platform", "post_text")
+    return B.merge_labels(posts, B.label(posts, B.rule_model(KEYWORDS), pause=0.0)).select("idx", "platform", "topic_broad", "status")
+
+
 def batch_mapping(spark: SparkSession, d: str) -> DataFrame:
     freq = label_frequency(spark, d)
     answers = freq.where("posts >= 2").select("domain", F.upper("label").alias("raw"), F.regexp_replace("label", "^[a-z]+ ", "").alias("canonical"))
@@ -109,7 +123,7 @@ def length_distance(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        anchor_signature, duplicate_merges, verdict_counts, suspicion_flags, known_case_check, merge_proposals, evaluation_sample, verdict_agreement, label_posts, label_posts_whole, resume_labels, label_batches, merged_labels, batch_mapping, top_percent_coverage, master_numbers, length_distance,
+        anchor_signature, duplicate_merges, verdict_counts, suspicion_flags, known_case_check, merge_proposals, evaluation_sample, verdict_agreement, label_posts, label_posts_whole, resume_labels, resume_labels_tagged, label_batches, merged_labels, merged_labels_all, batch_mapping, top_percent_coverage, master_numbers, length_distance,
     )
 }
 
@@ -163,3 +177,9 @@ select audience, sum(abs(a - b) * coalesce(width, 0)) as distance from s where n
 }
 
 SQL["label_posts_whole"] = SQL["label_posts"].replace("[1:800]", "")
+SQL["resume_labels_tagged"] = """
+with done as (select idx from tagged_posts_v2_clean where lower(trim(coalesce(topic, ''))) not in ('', 'unclassified'))
+select idx, 'ok' as status from posts_clean_v2 where idx not in (select idx from done where idx is not null)"""
+SQL["merged_labels_all"] = f"""
+with p as (select idx, platform, lower(coalesce(post_text, '')) as t from posts_clean_v2)
+select idx, platform, {_DOMAIN} as topic_broad, 'ok' as status from p"""

@@ -8,6 +8,7 @@ from postloom.operators import grouping as G, labeling as B, seeds as S
 from postloom.operators.labels import repair
 from postloom.operators.rules import clean, in_scope
 from postloom.operators.similarity import similar_pairs
+from postloom.plans import merges as P
 
 POST = "idx bigint, post_text string, platform string, profile_id string, author_name string, subreddit string, raw_post_json string"
 
@@ -171,6 +172,16 @@ def test_labelling_reads_whole_texts(spark):
     assert B.label(posts, B.rule_model({"database": "SE"}), pause=0.0, max_chars=800).first().topic_broad == "Other"
 
 
+def test_labels_of_odd_and_even_posts(spark, small):
+    posts = spark.read.parquet(f"{small}/posts_clean_v2.parquet")
+    merged = P.merged_labels_all(spark, small)
+    assert merged.count() == posts.count() and merged.where("status <> 'ok' or topic_broad is null").count() == 0
+    tagged = spark.read.parquet(f"{small}/tagged_posts_v2_clean.parquet").where("lower(trim(coalesce(topic, ''))) not in ('', 'unclassified')")
+    left = P.resume_labels_tagged(spark, small)
+    assert {r.idx for r in left.collect()} == {r.idx for r in posts.join(tagged, "idx", "left_anti").collect()}
+    assert {r.p for r in left.selectExpr("idx % 2 as p").distinct().collect()} == {0, 1}
+
+
 def test_empty_tables(spark):
     assert clean(spark.createDataFrame([], POST)).count() == 0
     empty = spark.createDataFrame([], "domain string, label string")
