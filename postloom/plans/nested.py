@@ -50,7 +50,39 @@ def p1_posts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {"p1_found": p1_found, "p1_schema_graph": p1_schema_graph, "p1_media": p1_media, "p1_posts": p1_posts}
+def media_all(posts: DataFrame) -> DataFrame:
+    """idx, layout (media or gallery), ordinal, media_id, kind: the media of all layouts. media_id is null where an item has none."""
+    posts = posts.select("idx", "raw_post_json")
+    rows = shred(posts, "idx", "raw_post_json", plan_for(posts, "raw_post_json"), tables={"media", "gallery"})
+    # the object media that holds the gallery is a row of its table, too, but no item
+    items = rows.where("table = 'gallery' or cols['id'] is not null or cols['kind'] is not null")
+    return items.select(F.col("record").alias("idx"), F.col("table").alias("layout"), "ordinal", F.col("cols")["id"].alias("media_id"), F.col("cols")["kind"].alias("kind"))
+
+
+def posts_all(posts: DataFrame) -> DataFrame:
+    """idx, post_id, title, author, author_type, scraper: the root table with its author. author and data are tables of their own, as comments
+    have them too; the post's rows are those that hang below the root. idx is a key of posts."""
+    posts = posts.select("idx", "raw_post_json")
+    rows = shred(posts, "idx", "raw_post_json", plan_for(posts, "raw_post_json"), tables={"$", "author", "data"})
+    c = lambda m, *paths: F.coalesce(*(F.col(m)[p] for p in paths))
+    # joined by (record, root's row) in one aggregation
+    own = rows.where("table = '$' or parent_table = '$'").withColumn("root", F.coalesce("parent_row", "row"))
+    j = own.groupBy("record", "root").agg(*(F.max_by("cols", F.when(F.col("table") == t, -F.col("row"))).alias(name) for t, name in (("$", "post"), ("author", "author"), ("data", "data"))))
+    return j.select(
+        F.col("record").alias("idx"), F.coalesce(c("post", "id", "post.id", "data.id"), c("data", "id")).alias("post_id"), c("post", "title", "post.title", "post_details.title").alias("title"), F.coalesce(c("author", "urn", "name"), c("post", "author.urn", "author.name", "author")).alias("author"),
+        F.coalesce(c("post", "authorType", "author_type", "post.authorType", "observationType", "author.type"), c("author", "type")).alias("author_type"), c("post", "meta.scraper").alias("scraper"),
+    )
+
+
+def p1_media_all(spark: SparkSession, d: str) -> DataFrame:
+    return media_all(table(spark, d, "posts_filtered"))
+
+
+def p1_posts_all(spark: SparkSession, d: str) -> DataFrame:
+    return posts_all(table(spark, d, "posts_filtered"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_schema_graph": p1_schema_graph, "p1_media": p1_media, "p1_posts": p1_posts, "p1_media_all": p1_media_all, "p1_posts_all": p1_posts_all}
 
 _UNWRAPPED = """
 with recursive once as (

@@ -1,7 +1,7 @@
 import json
 
 from postloom.operators.nested import Entity, flat_table, parse, plan_for, plan_tables, schema_graph, shred
-from postloom.plans.nested import comments
+from postloom.plans.nested import comments, media_all, posts_all
 
 
 def frame(spark, records):
@@ -73,3 +73,18 @@ def test_entity_by_key_of_the_map(spark):
 
 def test_parse_is_strict():
     assert parse('{"a": Infinity}') is None and parse('{"a": 1}') == {"a": 1} and parse('"{\\"a\\": 1}"') == {"a": 1}
+
+
+def test_all_layouts_of_posts_and_media(spark):
+    comment = '{"kind": "t1", "data": {"id": "c1", "author": {"name": "z", "type": "Bot"}}}'
+    texts = [
+        '{"id": "a", "author": {"urn": "u1", "type": "Person"}, "post_details": {"title": "A", "media": [{"id": "m0", "kind": "doc"}]}, "comments": [{"id": "c", "author": {"handle": "h"}}]}',
+        '{"post": {"id": "b", "title": "B", "authorType": "Company"}}',
+        f'{{"data": {{"id": "d", "children": [{comment}]}}, "title": "D"}}',
+        '{"author_type": "Individual", "title": "G", "media": {"gallery": [{"id": "g1"}, {"id": "g2", "kind": "image"}]}}',
+        "broken", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "idx bigint, raw_post_json string")
+    assert sorted(tuple(r) for r in media_all(df).collect()) == [(0, "media", 0, "m0", "doc"), (3, "gallery", 0, "g1", None), (3, "gallery", 1, "g2", "image")]
+    got = {r.idx: (r.post_id, r.title, r.author, r.author_type) for r in posts_all(df).collect()}
+    assert got == {0: ("a", "A", "u1", "Person"), 1: ("b", "B", None, "Company"), 2: ("d", "D", None, None), 3: (None, "G", None, "Individual")}
