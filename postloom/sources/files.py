@@ -12,6 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 LOG = logging.getLogger("postloom")
+#: More known keys than this aren't listed by append_by_key().
+MAX_KEYS = 10_000
 
 POST_FIELDS = tuple(
     """audience_room_id audience_room_name platform profile_id post_id post_text post_date post_url num_likes num_comments num_shares subreddit label_useful label_personal label_off_domain label_low_content
@@ -41,12 +43,15 @@ def write_csv(df: DataFrame, path: str, quote_all: bool = False, mode: str = "ov
 
 
 def append_by_key(df: DataFrame, path: str, key: str) -> list[str]:
-    """Appends, and gives (and logs) the keys that were there before; the keys are few by the nature of the table, as domains are."""
+    """Appends, and gives (and logs) the keys that were there before. Keys are few by the nature of the table, as domains are; with more
+    than MAX_KEYS known ones it raises before anything is written."""
     try:
         old = df.sparkSession.read.parquet(path).select(key).distinct()
-        known = [r[0] for r in df.select(key).distinct().join(old, key, "left_semi").limit(10_000).collect()]
+        known = [r[0] for r in df.select(key).distinct().join(old, key, "left_semi").take(MAX_KEYS + 1)]
     except AnalysisException:
         known = []
+    if len(known) > MAX_KEYS:
+        raise ValueError(f"more than {MAX_KEYS} values of {key} are in {path} already: it isn't a key of few values")
     if known:
         LOG.warning("already in %s: %s", path, ", ".join(map(str, sorted(known, key=str))))
     df.write.mode("append").parquet(path)
@@ -54,15 +59,20 @@ def append_by_key(df: DataFrame, path: str, key: str) -> list[str]:
 
 
 def read_map(spark: SparkSession, path: str) -> DataFrame:
-    """domain, raw_label, canonical from a JSON file of {domain: {raw: canonical}}."""
-    text = spark.read.text(path, wholetext=True)
+    """domain, raw_label, canonical from JSON files of {domain: {raw: canonical}}: one object a file, indented or not, or an object a line
+    as write_map() has it. Text that isn't such an object gives no rows."""
+    # within an indented object no line begins with a brace, and strings hold no line breaks
+    text = spark.read.text(path, wholetext=True).select(F.explode(F.split("value", r"\n(?=\{)")).alias("value"))
     parsed = text.select(F.from_json("value", "map<string,map<string,string>>").alias("m"))
     return parsed.select(F.explode("m").alias("domain", "own")).select("domain", F.explode("own").alias("raw_label", "canonical"))
 
 
-def write_map(topic_map: DataFrame, path: str) -> None:
-    """One JSON object a line for each domain: {"domain", "map"}. A domain's map holds its distinct labels."""
-    topic_map.groupBy("domain").agg(F.map_from_entries(F.collect_list(F.struct("raw_label", "canonical"))).alias("map")).write.mode("overwrite").json(path)
+def write_map(topic_map: DataFrame, path: str, chunks: int = 64) -> None:
+    """Lines of {domain: {raw: canonical}}, which read_map() reads back. A domain's labels are spread over some lines, so that no line grows
+    with the domain; of repeated labels the smallest canonical is kept. Rows whose domain or raw label is null have no place in a map."""
+    rows = topic_map.where("domain is not null and raw_label is not null").groupBy("domain", "raw_label").agg(F.min("canonical").alias("canonical"))
+    lines = rows.groupBy("domain", F.pmod(F.xxhash64("raw_label"), F.lit(chunks)).alias("chunk")).agg(F.map_from_entries(F.collect_list(F.struct("raw_label", "canonical"))).alias("own"))
+    lines.select(F.to_json(F.create_map("domain", "own")).alias("value")).write.mode("overwrite").text(path)
 
 
 def read_progress(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -1,5 +1,6 @@
 from dataclasses import dataclass
 
+import pytest
 from pyspark.sql import functions as F
 
 from postloom.sources import files
@@ -51,3 +52,27 @@ def test_stream_drops_repeats(spark, tmp_path):
     query = drop_repeats(stream, "ts").writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_map_round_trip(spark, tmp_path):
+    rows = [("AI", "a \n{b", "c"), ("AI", "é \"q\"", "d"), ("Career", "a", None), ("AI", "a \n{b", "b"), (None, "x", "y"), ("AI", None, "y")]
+    df = spark.createDataFrame(rows, "domain string, raw_label string, canonical string")
+    files.write_map(df, str(tmp_path / "m"))
+    want = [("AI", "a \n{b", "b"), ("AI", "é \"q\"", "d"), ("Career", "a", None)]
+    assert sorted(tuple(r) for r in files.read_map(spark, str(tmp_path / "m")).collect()) == want
+    import json
+
+    for indent in (None, 2):
+        (tmp_path / "one.json").write_text(json.dumps({"AI": {"a": "b"}, "Career": {"c": "d"}}, indent=indent))
+        assert sorted(tuple(r) for r in files.read_map(spark, str(tmp_path / "one.json")).collect()) == [("AI", "a", "b"), ("Career", "c", "d")]
+    files.write_map(df.limit(0), str(tmp_path / "none"))
+    assert files.read_map(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_too_many_known_keys(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "MAX_KEYS", 2)
+    df = spark.range(3).withColumnRenamed("id", "k")
+    assert files.append_by_key(df, str(tmp_path / "k"), "k") == []
+    with pytest.raises(ValueError):
+        files.append_by_key(df, str(tmp_path / "k"), "k")
+    assert spark.read.parquet(str(tmp_path / "k")).count() == 3
