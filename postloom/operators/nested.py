@@ -12,8 +12,10 @@ data), the second shreds. Only the tables asked for leave the second pass.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from json.decoder import scanstring
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -24,25 +26,25 @@ MAX_LABELS = 20_000
 
 ROWS = (
     "record bigint, row bigint, table string, parent_row bigint, parent_table string, ordinal int, map_key string, "
-    "entity string, entity_key string, entity_parent string, cols map<string,string>"
+    "entity string, entity_key string, cols map<string,string>"
 )
 
 
 def parse(text: str | None):
     """The record as Python objects; None where the text isn't valid JSON. A record stored as a JSON string or in lists of one
-    element is unwrapped; any other list or a scalar has no fields and gives None. NaN and Infinity aren't JSON."""
+    element, however often, is unwrapped; any other list or a scalar has no fields and gives None. NaN and Infinity aren't JSON."""
     if text is None:
         return None
     try:
-        value = _DECODER.decode(text)
-        for _ in range(16):
+        value = decode(text)
+        while True:
             if isinstance(value, str):
-                value = _DECODER.decode(value)
+                value = decode(value)
             elif isinstance(value, list) and len(value) == 1:
                 value = value[0]
             else:
                 break
-    except (ValueError, RecursionError):
+    except ValueError:
         return None
     return value if isinstance(value, dict) else None
 
@@ -62,6 +64,66 @@ class _Decoder(json.JSONDecoder):
 
 
 _DECODER = _Decoder()
+_BLANK = re.compile(r"[ \t\n\r]*")
+_SCALAR = re.compile(r"(-?(?:0|[1-9][0-9]*))(\.[0-9]+)?([eE][-+]?[0-9]+)?|true|false|null")
+_WORDS = {"true": True, "false": False, "null": None}
+
+
+def decode(text: str):
+    """The value of a JSON text of any depth; ValueError where it isn't valid."""
+    try:
+        return _DECODER.decode(text)
+    except RecursionError:
+        return decode_deep(text)
+
+
+def decode_deep(text: str):
+    """decode() with a stack of its own instead of the interpreter's."""
+    open_: list = []  # containers being filled, each with the key its next member gets
+    at, expect = _BLANK.match(text).end(), "value"
+    while True:
+        c = text[at : at + 1]
+        if expect != "value" and c in ("}", "]"):  # the end of a container
+            if not open_ or (c == "}") != isinstance(open_[-1][0], dict) or expect == "key":
+                raise ValueError(at)
+            value, at = open_.pop()[0], at + 1
+        elif expect in ("key", "first key"):
+            if c != '"':
+                raise ValueError(at)
+            key, at = scanstring(text, at + 1, True)
+            at = _BLANK.match(text, at).end()
+            if text[at : at + 1] != ":":
+                raise ValueError(at)
+            open_[-1][1], at, expect = key, _BLANK.match(text, at + 1).end(), "value"
+            continue
+        elif c in ("{", "["):
+            open_.append([{} if c == "{" else [], None])
+            at, expect = _BLANK.match(text, at + 1).end(), "first key" if c == "{" else "first"
+            continue
+        elif c == '"':
+            value, at = scanstring(text, at + 1, True)
+        elif m := _SCALAR.match(text, at):
+            value = _WORDS[m[0]] if m[0] in _WORDS else float(m[0]) if m[2] or m[3] else int(m[1])
+            at = m.end()
+        else:
+            raise ValueError(at)
+        at = _BLANK.match(text, at).end()
+        if not open_:
+            if at != len(text):
+                raise ValueError(at)
+            return value
+        holder, key = open_[-1]
+        if isinstance(holder, dict):
+            holder[key] = value
+        else:
+            holder.append(value)
+        c = text[at : at + 1]
+        if c == ",":
+            at, expect = _BLANK.match(text, at + 1).end(), "key" if isinstance(holder, dict) else "value"
+        elif c in ("}", "]"):
+            expect = "end"
+        else:
+            raise ValueError(at)
 
 
 def scalar(value) -> str | None:
@@ -93,14 +155,13 @@ def keyed(obj: dict) -> bool:
 class Entity:
     """Rows of several tables that are one kind of thing, as a comment in several layouts.
 
-    edges: (parent label, label), "*" for any parent. key and parent_ref: columns with its own and its parent's id, "@key" being its
-    key in a keyed object; without a parent_ref value the parent is the nearest enclosing row of the entity. unless: (column, value) of the row above that rules it out.
+    edges: (parent label, label), "*" for any parent. key: columns with its id, "@key" being its key in a keyed object; a row without any
+    isn't of the entity. unless: (column, value) of the row above that rules it out.
     """
 
     name: str
     edges: tuple[tuple[str, str], ...]
     key: tuple[str, ...]
-    parent_ref: tuple[str, ...] = ()
     unless: tuple[tuple[str, str], ...] = ()
 
 
@@ -180,8 +241,11 @@ def plan_tables(edges: Iterable[tuple[str, str, bool]]) -> TablePlan:
 
 
 def plan_for(df: DataFrame, json_col: str) -> TablePlan:
-    """The plan for a corpus. What is collected is the set of field names."""
-    return plan_tables((r.parent, r.label, r.repeated) for r in schema_graph(df, json_col).limit(4 * MAX_LABELS).collect())
+    """The plan for a corpus. What is collected is the set of field names, with an error if it is too large to be one."""
+    edges = schema_graph(df, json_col).take(4 * MAX_LABELS + 1)
+    if len(edges) > 4 * MAX_LABELS:
+        raise ValueError(f"more than {4 * MAX_LABELS} edges: the keys of some object are data; see keyed()")
+    return plan_tables((r.parent, r.label, r.repeated) for r in edges)
 
 
 def _rows(value: dict, plan: TablePlan, entities: tuple[Entity, ...]) -> Iterator[tuple]:
@@ -191,10 +255,10 @@ def _rows(value: dict, plan: TablePlan, entities: tuple[Entity, ...]) -> Iterato
         for edge in e.edges:
             by_edge[edge] = e
     number = 0
-    # holder: (row, table, cols); enclosing: entity name -> key of the nearest enclosing row of that entity
-    stack: list = [(ROOT, ROOT, value, None, None, 0, None, {})]
+    # parent: (row, cols, table); kept: (row, table) of the nearest enclosing row of an entity
+    stack: list = [(ROOT, ROOT, value, None, 0, None, None)]
     while stack:
-        label, above, obj, parent, parent_table, ordinal, key, enclosing = stack.pop()
+        label, above, obj, parent, ordinal, key, kept = stack.pop()
         row, number = number, number + 1
         cols: dict[str, str | None] = {}
         below: list = []
@@ -225,43 +289,42 @@ def _rows(value: dict, plan: TablePlan, entities: tuple[Entity, ...]) -> Iterato
                 else:
                     cols[prefix + k] = scalar(v)
         e = by_edge.get((above, label)) or by_edge.get(("*", label))
-        name = own = ref = None
-        if e and (own := next((x for k in e.key if (x := key if k == "@key" else cols.get(k)) is not None), None)) is not None:
-            up = parent[1] if parent else {}
-            if any(up.get(c) == v for c, v in e.unless):
-                own = None
-            else:
-                name = e.name
-                ref = next((cols[k] for k in e.parent_ref if cols.get(k) is not None), enclosing.get(name, ""))
-                enclosing = {**enclosing, name: own}
-        else:
+        own = next((x for k in e.key if (x := key if k == "@key" else cols.get(k)) is not None), None) if e else None
+        if own is not None and parent and any(parent[1].get(c) == v for c, v in e.unless):
             own = None
-        yield row, label, parent[0] if parent else None, parent_table, ordinal, key, name, own, ref, cols
+        yield row, label, parent and parent[0], parent and parent[2], ordinal, key, None if own is None else e.name, own, cols, kept
+        if own is not None:
+            kept = row, label
+        here = row, cols, label
         for k, at, x, i, mk in reversed(below):
-            stack.append((k, at, x, (row, cols), label, i, mk, enclosing))
+            stack.append((k, at, x, here, i, mk, kept))
 
 
 def shred(
-    df: DataFrame, id_col: str, json_col: str, plan: TablePlan, tables: set[str] | None = None, entities: tuple[Entity, ...] = (), only_entities: bool = False, with_cols: bool = True
+    df: DataFrame, id_col: str, json_col: str, plan: TablePlan, tables: set[str] | None = None, entities: tuple[Entity, ...] = (), only_entities: bool = False, columns: set[str] | None = None
 ) -> DataFrame:
-    """The rows of all tables of the plan (or of those named; or only the rows of an entity) as one DataFrame with the schema ROWS.
+    """The rows of all tables of the plan (or of those named) as one DataFrame with the schema ROWS, with all columns or only those named.
 
-    record is id_col; table() takes one flat table out. Null and broken records have no rows; null elements of arrays have none
-    either, but count for ordinal. Other columns of df play no part, so their names can't clash.
+    record is id_col; flat_table() takes one flat table out. With only_entities only rows of entities are kept, and their foreign keys lead to the
+    nearest enclosing row kept. Null and broken records have no rows; null elements of arrays have none either, but count for ordinal. Other
+    columns of df play no part, so their names can't clash.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(11)]
+            out: list[tuple] = []
             for record, text in zip(batch.iloc[:, 0], batch.iloc[:, 1]):
                 if (value := parse(text)) is None:
                     continue
-                for row, label, parent, parent_table, ordinal, key, name, own, ref, cols in _rows(value, plan, entities):
+                for row, label, parent, parent_table, ordinal, key, name, own, cols, kept in _rows(value, plan, entities):
                     if (tables is None or label in tables) and (name is not None or not only_entities):
-                        for c, x in zip(out, (record, row, label, parent, parent_table, ordinal, key, name, own, ref, cols if with_cols else None)):
-                            c.append(x)
-            if out[0]:
-                yield pd.DataFrame(dict(zip([x.split()[0] for x in ROWS.replace("map<string,string>", "map").split(", ")], out))).astype({"parent_row": "Int64"})
+                        if only_entities:
+                            parent, parent_table = kept or (None, None)
+                        if columns is not None:
+                            cols = {c: cols[c] for c in columns if c in cols}
+                        out.append((record, row, label, parent, parent_table, ordinal, key, name, own, cols))
+            if out:
+                yield pd.DataFrame(out, columns=[x.split()[0] for x in ROWS.replace(",string>", ">").split(", ")]).astype({"parent_row": "Int64"})
 
     return df.select(F.col(id_col).cast("bigint"), F.col(json_col)).mapInPandas(run, ROWS)
 

@@ -5,24 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.nested import Entity, flat_table, plan_for, schema_graph, shred
-from ..session import table
+from ..session import table, written
 
 #: Comments and replies in all layouts; the kind "more" marks comments that weren't loaded.
 COMMENT = Entity(
     "comment",
     (("*", "comments"), ("*", "replies"), ("children", "data"), ("*", "discussion"), ("*", "children"), ("*", "items"), ("replies", "data")),
     key=("id", "cid", "comment_id"),
-    parent_ref=("parent_id",),
     unless=(("kind", "more"),),
 )
 
 
+def comment_tables(posts: DataFrame) -> DataFrame:
+    """record, row, parent_row, table, comment_id, parent_ref: the flat tables of comments of all layouts, one below the other. parent_row is the
+    row of the comment that encloses it; parent_ref the parent's id where the layout names it instead."""
+    posts = posts.select("idx", "raw_post_json")
+    rows = shred(posts, "idx", "raw_post_json", plan_for(posts, "raw_post_json"), entities=(COMMENT,), only_entities=True, columns={"parent_id"})
+    return rows.select("record", "row", "parent_row", "table", F.col("entity_key").alias("comment_id"), F.col("cols")["parent_id"].alias("parent_ref"))
+
+
 def comments(posts: DataFrame) -> DataFrame:
     """idx, comment_id, parent_id of the comments at any depth; parent_id is '' on the post itself. A comment present twice in a record
-    is one row. Null and broken records have no rows."""
-    posts = posts.select("idx", "raw_post_json")
-    rows = shred(posts, "idx", "raw_post_json", plan_for(posts, "raw_post_json"), entities=(COMMENT,), only_entities=True, with_cols=False)
-    return rows.select(F.col("record").alias("idx"), F.col("entity_key").alias("comment_id"), F.col("entity_parent").alias("parent_id")).distinct()
+    is one row. Null and broken records have no rows. The parent's id comes through the foreign key (record, parent_row)."""
+    rows = comment_tables(posts)
+    # only comments that have replies are looked up, and only replies look up; the shredding is written once for both
+    rows = written(rows)
+    held = rows.where("parent_row is not null and parent_ref is null")
+    above = rows.select(F.col("record"), F.col("row").alias("parent_row"), F.col("comment_id").alias("parent_id"))
+    below = held.select("record", "parent_row", "comment_id").join(above, ["record", "parent_row"]).select("record", "comment_id", "parent_id")
+    other = rows.where("parent_row is null or parent_ref is not null").select("record", "comment_id", F.coalesce("parent_ref", F.lit("")).alias("parent_id"))
+    return below.unionByName(other).distinct().select(F.col("record").alias("idx"), "comment_id", "parent_id")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:

@@ -1,6 +1,9 @@
 import json
+import random
 
-from postloom.operators.nested import Entity, flat_table, parse, plan_for, plan_tables, schema_graph, shred
+import pytest
+
+from postloom.operators.nested import Entity, decode_deep, flat_table, parse, plan_for, plan_tables, schema_graph, shred
 from postloom.plans.nested import comments, media_all, posts_all
 
 
@@ -88,3 +91,38 @@ def test_all_layouts_of_posts_and_media(spark):
     assert sorted(tuple(r) for r in media_all(df).collect()) == [(0, "media", 0, "m0", "doc"), (3, "gallery", 0, "g1", None), (3, "gallery", 1, "g2", "image")]
     got = {r.idx: (r.post_id, r.title, r.author, r.author_type) for r in posts_all(df).collect()}
     assert got == {0: ("a", "A", "u1", "Person"), 1: ("b", "B", None, "Company"), 2: ("d", "D", None, None), 3: (None, "G", None, "Individual")}
+
+
+def test_decoding_of_any_depth():
+    rng = random.Random(3)
+
+    def value(depth):
+        k = rng.randrange(9 if depth else 7)
+        if k < 7:
+            return [None, True, False, rng.randrange(-9, 9), 1.5e-3, "a\"\\\né😀", ""][k]
+        return [value(depth - 1) for _ in range(rng.randrange(4))] if k == 7 else {rng.choice("abc "): value(depth - 1) for _ in range(rng.randrange(4))}
+
+    for k in range(400):
+        text = json.dumps(value(5), indent=rng.choice([None, 1]), ensure_ascii=rng.random() < 0.5)
+        assert decode_deep(text) == json.loads(text)
+        broken = text[: rng.randrange(len(text) + 1)] + rng.choice(["", "]", "}", ",", ":", '"', "x", " 1", "\x01"]) + text[rng.randrange(len(text) + 1) :]
+        try:
+            want = json.loads(broken, parse_constant=lambda n: int("x"))
+        except ValueError:
+            with pytest.raises((ValueError, IndexError)):
+                decode_deep(broken)
+        else:
+            assert decode_deep(broken) == want
+
+
+def test_twenty_thousand_levels(spark):
+    n = 20_000
+    text = '{"comments": [' + "".join(f'{{"id": {k}, "replies": [' for k in range(n)) + "]}" * n + "]}"
+    got = found(frame(spark, [text, text[:-1], json.dumps(json.dumps({"comments": [{"id": "a"}]}))]))
+    assert len(got) == n + 1 and (0, str(n - 1), str(n - 2)) in got and (0, "0", "") in got and (2, "a", "") in got
+
+
+def test_too_many_edges(spark, monkeypatch):
+    monkeypatch.setattr("postloom.operators.nested.MAX_LABELS", 2)
+    with pytest.raises(ValueError):
+        plan_for(frame(spark, [json.dumps({f"k{i}": {} for i in range(9)})]), "raw_post_json")
