@@ -31,6 +31,7 @@ def hash_to_min(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int =
     e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
     own = e.where("a = b").select("a", "b")
     state = e.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(False).alias("leaf"), F.lit(False).alias("done")).distinct()
+    state = written(state)  # read twice by a round
     settled = [own]
     path = None
     for _ in range(max_rounds):
@@ -92,6 +93,7 @@ def match_groups(matches: DataFrame, decision: str = "APPLY") -> DataFrame:
     ).select("r", "d", "links", F.explode("labels").alias("label"))  # apart, as rows are numbered before they are exploded
     # a null domain sorts and joins as a struct's null field
     rows = rows.select("r", "links", F.struct(F.coalesce("d", F.lit("")).alias("d"), F.col("d").isNull().alias("no_d"), "label").alias("key"))
+    rows = written(rows)  # parsed once
     named = rows.groupBy("key").agg(F.count_if("links").alias("n"))
     numbered = written(named.sort("key").select(F.monotonically_increasing_id().alias("v"), "key", "n"))
     linked = lookup(rows.where("links").select("r", "key"), numbered.where("n > 0"), ["key"], "n", HOT).groupBy("r").agg(F.collect_set("v").alias("vs"))  # one row's labels
