@@ -2,8 +2,11 @@
 
 The corpus' vocabulary is kept as a trie in relational form: a node is a prefix, a row of the table of proper prefixes of known words. A
 final token that is no known word but a node of the trie was cut within a word. Cuts between words show in the corpus' counts of how
-often the last words of the text end a sentence, and in lengths piled up at a source's limit. All counts cover all distinct texts; they are
-summed map-side, and every look-up is a join, so nothing grows on the driver or in a broadcast.
+often the last words of the text end a sentence, and in lengths piled up at a source's limit.
+
+The endings come first: one short row a document, of which only those that end within words ask anything. All counts cover all distinct
+texts, but of words in sequence only what some ending asks for is counted: a Bloom filter of what is asked saves the rest from being made and
+shuffled, and an exact join follows. Every look-up is a join by the distinct endings, hot ones salted.
 """
 
 from __future__ import annotations
@@ -14,7 +17,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import cut_lineage
+from ..session import written
+from . import bloom
+from .salted import HOT, lookup
 
 #: A word or CJK character; an end of sentence; a line break.
 _TOKEN = re.compile(r"[぀-ヿ㐀-鿿]|[^\W_぀-ヿ㐀-鿿]+(?:['’-][^\W_぀-ヿ㐀-鿿]+)*|[.!?。！？…]+|\n")
@@ -39,7 +44,8 @@ _SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 ORDERS = (4, 3, 2, 1)
 _FLUSH = 200_000
 
-ENDINGS = "id bigint, source string, n_chars bigint, state string, last string, gram4 string, gram3 string, gram2 string, gram1 string"
+#: ask: the last words from the start of their sentence, ^, at most four; or the key of a link, address, tag or option, which has no blank.
+ENDINGS = "id bigint, source string, n_chars bigint, state string, ask string"
 
 
 def _plain(token: str) -> str:
@@ -124,20 +130,91 @@ def _endings(docs: DataFrame) -> DataFrame:
             for i, source, text in zip(batch.iloc[:, 0], batch.iloc[:, 1], batch.iloc[:, 2]):
                 if text is not None and text.strip():
                     state, last, grams = ending(text)
-                    out.append((i, source, len(text), state, last, *(grams or [None] * 4)))
+                    out.append((i, source, len(text), state, grams[0] if grams else last))
             if out:
                 yield pd.DataFrame(out, columns=[x.split()[0] for x in ENDINGS.split(", ")])
 
     return docs.mapInPandas(run, ENDINGS)
 
 
-def _counts(docs: DataFrame) -> DataFrame:
-    """gram, inside, ends, last: how often words of each order were followed by more, by an end of sentence or line, and by the end of
+class _Words(dict):
+    """What is known of a token: None if it's no word, else (plain form, whether its counts are asked, whether what follows it is)."""
+
+    def __init__(self, asked: bloom.Bloom) -> None:
+        super().__init__()
+        self.asked = asked
+
+    def __missing__(self, token: str):
+        if len(self) > _FLUSH:
+            self.clear()
+        found = None
+        if token[0].isalnum():
+            word = _plain(token)
+            found = word, word in self.asked, f"<{word}" in self.asked
+        self[token] = found
+        return found
+
+
+class _Asked(dict):
+    """Whether words in sequence are asked."""
+
+    def __init__(self, asked: bloom.Bloom) -> None:
+        super().__init__()
+        self.asked = asked
+
+    def __missing__(self, gram: str) -> bool:
+        if len(self) > _FLUSH:
+            self.clear()
+        found = self[gram] = gram in self.asked
+        return found
+
+
+def _count(text: str, words: _Words, asked: _Asked, after_start: bool, found: dict[str, list[int]]) -> None:
+    """Adds what a stripped text shows to found."""
+    for key in _known_keys(text):
+        found.setdefault(key, [0, 0, 0])[0] += 1
+    infos = list(map(words.__getitem__, _TOKEN.findall(text)))
+    infos.append("end")
+    run: list[str] = ["^"]
+    follows = after_start
+    for k, info in enumerate(infos[:-1]):
+        if info is None:
+            if len(run) > 1:
+                run, follows = ["^"], after_start
+            continue
+        word, word_asked, before = info
+        then = infos[k + 1]
+        at = 1 if then is None else 2 if then == "end" else 0
+        if word_asked:
+            found.setdefault(word, [0, 0, 0])[at] += 1
+        elif at != 2 and word not in found:
+            found[word] = [1, 0, 0]
+        pair = f"{run[-1]} {word}"
+        if asked[pair]:
+            found.setdefault(pair, [0, 0, 0])[at] += 1
+            if len(run) > 1:
+                three = f"{run[-2]} {pair}"
+                if asked[three]:
+                    found.setdefault(three, [0, 0, 0])[at] += 1
+                if len(run) > 2 and asked[four := f"{run[-3]} {three}"]:
+                    found.setdefault(four, [0, 0, 0])[at] += 1
+        elif follows and at != 2 and pair not in found:
+            found[pair] = [1, 0, 0]
+        run.append(word)
+        follows = before
+
+
+def _counts(docs: DataFrame, filter_of_asked: bytes) -> DataFrame:
+    """gram, inside, ends, last: how often words were followed by more, by an end of sentence or line, and by the end of
     the text, over all distinct texts: copies of a text are no evidence for one another. Whole links, tags and options have rows by their
-    keys."""
+    keys. The counts are true for what the filter has; each other word that occurs before the end of a text has a row, and so has each pair
+    whose first word the filter has after "<"."""
+    bits = docs.sparkSession.sparkContext.broadcast(filter_of_asked)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[str, list[int]] = {}
+        of = bloom.Bloom(bits.value)
+        words, asked, after_start = _Words(of), _Asked(of), "<^" in of
 
         def flush() -> pd.DataFrame:
             frame = pd.DataFrame([(k, *v) for k, v in found.items()], columns=["gram", "inside", "ends", "last"])
@@ -146,21 +223,8 @@ def _counts(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in batch.iloc[:, 0]:
-                if text is None:
-                    continue
-                text = text.rstrip()
-                for key in _known_keys(text):
-                    found.setdefault(key, [0, 0, 0])[0] += 1
-                tokens = _TOKEN.findall(text)
-                run_: list[str] = []
-                for k, token in enumerate(tokens):
-                    if not token[0].isalnum():
-                        run_ = []
-                        continue
-                    run_ = [*run_[-3:], _plain(token)] if len(run_) > 3 else [*run_, _plain(token)]
-                    at = 2 if k + 1 == len(tokens) else 0 if tokens[k + 1][0].isalnum() else 1
-                    for gram in _grams(run_):
-                        found.setdefault(gram, [0, 0, 0])[at] += 1
+                if text is not None:
+                    _count(text.rstrip(), words, asked, after_start, found)
                 if len(found) > _FLUSH:
                     yield flush()
         if found:
@@ -171,6 +235,10 @@ def _counts(docs: DataFrame) -> DataFrame:
     return parts.groupBy("gram").agg(*(F.sum(c).alias(c) for c in ("inside", "ends", "last")))
 
 
+def _prefixes(column: str):
+    return F.explode(F.transform(F.sequence(F.lit(1), F.length(column) - 1), lambda n: F.substring(F.col(column), F.lit(1), n)))
+
+
 def length_limits(docs: DataFrame, slack: int = 8, least: int = 10, times: float = 4.0) -> DataFrame:
     """source, full: the length of its longest texts, for sources whose lengths pile up there: at least `least` texts within slack of it
     and `times` as many as in the windows of that width below. Sources without a pile have no row."""
@@ -189,31 +257,45 @@ def find_truncated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     (ends in a comma, dash or bracket, a table's open row or a link's beginning). Null sources are a source of their own. Texts of any length are read whole; ids may repeat.
     """
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
-    # both are read by several joins below; written once, they aren't made again for each
-    ends = cut_lineage(_endings(docs))
-    counts = cut_lineage(_counts(docs))
-    words = counts.where(~F.col("gram").contains(" ") & (F.col("inside") + F.col("ends") > 0)).select(F.col("gram").alias("word"))
+    ends = written(_endings(docs))
+    tail = lambda n: F.substring_index("ask", " ", -n)
+    asked = written(ends.where("ask is not null").groupBy("ask").agg(F.count("*").alias("n")))
+    in_words = asked.where(F.col("ask").contains(" "))
+    # the start of a pair is told by "<", which no word has
+    keys = in_words.select(F.explode(F.array_distinct(F.array(*(tail(n) for n in ORDERS), F.concat(F.lit("<"), F.substring_index(tail(2), " ", 1))))).alias("gram"))
+    counts = written(_counts(docs, bloom.build(keys, strict=False)))
+    before_end = F.col("inside") + F.col("ends") > 0
+    pair = F.col("gram").rlike("^[^ ]+ [^ ]+$")
+    words = counts.where(~F.col("gram").contains(" ") & before_end).select(F.col("gram").alias("word"))
     # the trie's nodes that matter: the prefixes that are final tokens
-    finals = ends.where("last is not null").select(F.col("last").alias("word")).distinct()
-    unknown = finals.join(words, "word", "left_anti")
-    nodes = words.where(F.length("word") > 1).select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda n: F.substring("word", F.lit(1), n))).alias("word"))
-    cut_words = unknown.join(nodes, "word", "left_semi").select(F.col("word").alias("last"), F.lit(True).alias("is_prefix"))
+    finals = asked.select(tail(1).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    unknown = finals.select("word").join(words, "word", "left_anti").withColumn("is_unknown", F.lit(True))
+    nodes = words.where(F.length("word") > 1).select(_prefixes("word").alias("word"))
+    cut_words = unknown.select("word").join(nodes, "word", "left_semi").withColumn("is_prefix", F.lit(True))
+    told_words = finals.join(unknown, "word", "left").join(cut_words, "word", "left")
     # the same one word deeper: the last word isn't known after the word before it, but begins one that is
     parted = lambda c: (F.substring_index(c, " ", 1).alias("before"), F.substring_index(c, " ", -1).alias("word"))
-    pairs = counts.where(F.col("gram").rlike("^[^ ]+ [^ ]+$") & (F.col("inside") + F.col("ends") > 0)).select(*parted("gram"))
-    unknown_pairs = ends.where("last is not null").select(*parted("gram2")).distinct().join(pairs, ["before", "word"], "left_anti")
+    pairs = counts.where(pair & before_end).select(*parted("gram"))
+    final_pairs = in_words.select(tail(2).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
+    unknown_pairs = final_pairs.select(*parted("pair")).join(pairs, ["before", "word"], "left_anti")
     asked_pairs = pairs.where(F.length("word") > 1).join(unknown_pairs.select("before").distinct(), "before", "left_semi")
-    pair_nodes = asked_pairs.select("before", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda n: F.substring("word", F.lit(1), n))).alias("word"))
-    cut_pairs = unknown_pairs.join(pair_nodes, ["before", "word"], "left_semi").select(F.concat_ws(" ", "before", "word").alias("gram2"), F.lit(True).alias("is_pair_prefix"))
-    known_not = unknown.select(F.col("word").alias("last"), F.lit(True).alias("is_unknown"))
+    pair_nodes = asked_pairs.select("before", _prefixes("word").alias("word"))
+    cut_pairs = unknown_pairs.join(pair_nodes, ["before", "word"], "left_semi").select(F.concat_ws(" ", "before", "word").alias("pair"), F.lit(True).alias("is_pair_prefix"))
+    told_pairs = final_pairs.join(cut_pairs, "pair", "left")
     # how often each document's last words end a sentence in other texts: its own end is taken off, which stands for all its copies
-    asked = ends.where("last is not null").select("gram4", "gram3", "gram2", "gram1").distinct()
-    wanted = asked.select(F.explode(F.array("gram4", "gram3", "gram2", "gram1")).alias("gram")).distinct()
-    told = counts.join(wanted, "gram", "left_semi").select("gram", (F.col("inside") + F.col("ends") + F.col("last") - 1).alias("total"), (F.col("ends") + F.col("last") - 1).alias("done"))
-    long = asked.select("gram4", F.posexplode(F.array("gram4", "gram3", "gram2", "gram1")).alias("k", "gram")).join(told, "gram").where("total > 0")
-    best = long.groupBy("gram4").agg(F.min_by(F.col("done") / F.col("total"), "k").alias("p_end"))
+    long = in_words.select("ask", F.explode(F.array_distinct(F.array(*(tail(n) for n in ORDERS)))).alias("gram"))
+    wanted = long.groupBy("gram").agg(F.count("*").alias("n"))
+    told = counts.join(wanted, "gram").select("gram", "n", (F.col("inside") + F.col("ends") + F.col("last") - 1).alias("total"), (F.col("ends") + F.col("last") - 1).alias("done")).where("total > 0")
+    best = lookup(long, told, ["gram"], "n", HOT).groupBy("ask").agg(F.max_by(F.col("done") / F.col("total"), F.length("gram")).alias("p_end"))
+    # all of it by the distinct endings, then to the documents
+    verdicts = lookup(asked.withColumnRenamed("n", "documents").withColumn("word", tail(1)), told_words, ["word"], "n", HOT)
+    verdicts = lookup(verdicts.withColumn("pair", tail(2)), told_pairs, ["pair"], "n", HOT, "left").join(best, "ask", "left")
+    verdicts = verdicts.select("ask", "documents", "is_unknown", "is_prefix", "is_pair_prefix", "p_end")
+    none = ends.where("ask is null")
+    for c, kind in verdicts.dtypes[2:]:
+        none = none.withColumn(c, F.lit(None).cast(kind))
+    j = lookup(ends.where("ask is not null"), verdicts, ["ask"], "documents", HOT).unionByName(none)
     limits = length_limits(docs, slack).select(F.col("source").alias("limited"), "full")
-    j = ends.join(cut_words, "last", "left").join(cut_pairs, "gram2", "left").join(known_not, "last", "left").join(best, "gram4", "left")
     j = j.join(limits, F.col("source").eqNullSafe(F.col("limited")), "left")
     full = F.coalesce(F.col("n_chars") > F.col("full") - slack, F.lit(False))
     in_word = F.col("state").isin("open", "mark")
