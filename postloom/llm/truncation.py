@@ -24,6 +24,8 @@ from .salted import HOT, lookup
 #: A word or CJK character; an end of sentence; a line break.
 _TOKEN = re.compile(r"[぀-ヿ㐀-鿿]|[^\W_぀-ヿ㐀-鿿]+(?:['’-][^\W_぀-ヿ㐀-鿿]+)*|[.!?。！？…]+|\n")
 _CERTAIN_MARK = re.compile(r"\s*(?:\[\s*(?:\.\.\.|…|truncated|cut off|cut|continued|more)\s*\]|\(\s*(?:\.\.\.|…|truncated)\s*\)|(?:\.\.\.|…)\s*(?:(?:read|see|show|view)\s)?(?:more|continue reading)\W*|<truncated>)$", re.I)
+#: What every certain mark has in it.
+_MARKED = re.compile(r"[\[(<…]|\.\.\.")
 _OPEN_MARK = re.compile(r"\s*(?:…|\.{3,})$")
 _ENTITY = re.compile(r"&(?:a|am|amp|l|lt|g|gt|q|qu|quo|quot|n|nb|nbs|nbsp|ap|apo|apos|#x?[0-9a-f]*)$")
 #: Of a single token: a link; the host of an address; a tag; an option; the beginning of a link.
@@ -39,6 +41,7 @@ _CODE_END = re.compile(r"[{};]$|\w\(\)$|(?<!\S)-[A-Za-z]$")
 _OPEN_ROW = re.compile(r"(?:^|[.!?:。！？]\s+)\|[^|]+(?:\|[^|]*)*\|\s*[^|\s][^|]*$")
 _COUNT = re.compile(r"\(?\d+\s*/\s*\d+\)?$")
 _WORD_END = re.compile(r"[^\W_]$")
+_WORD_CHAR = re.compile(r"\w")
 _DANGLING = re.compile(r"[,;(/&+=<{\[–—-]$")
 _SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 ORDERS = (4, 3, 2, 1)
@@ -97,26 +100,30 @@ def ending(text: str) -> tuple[str, str | None, list[str]]:
     end), open (ends in a word), mark (a word and an ellipsis), hanging (ends in a comma or the like, in an open row of a table or in a link's
     beginning). If the last token is a link, address, tag or option, the state is done and the last word its key."""
     t = text.rstrip()
-    if t.endswith("�") or _ENTITY.search(t) or _CERTAIN_MARK.search(t):
+    # marks are at the very end: what is before the last 400 is looked at only if these hold no word
+    end = t[-400:]
+    if len(end) < len(t) and not _WORD_CHAR.search(end):
+        end = t
+    if t.endswith("�") or "&" in end and _ENTITY.search(end) or _MARKED.search(end) and _CERTAIN_MARK.search(end):
         return "cut", None, []
     state = "open"
-    if m := _OPEN_MARK.search(t):
-        t, state = t[: m.start()].rstrip(), "mark"
+    if end.endswith(("…", "...")) and (m := _OPEN_MARK.search(end)):
+        t, state = t[: len(t) - len(end) + m.start()].rstrip(), "mark"
     line = t.rpartition("\n")[2]
     tail = line.split()[-1] if line.strip() else ""
     if _SCHEME.search(tail):
         return "hanging", None, []
-    if _COUNT.search(line) or line.startswith("```") or (line.endswith("`") and line.count("`") % 2 == 0):
+    if line[-1:] in ")0123456789" and _COUNT.search(line[-80:]) or line.startswith("```") or (line.endswith("`") and line.count("`") % 2 == 0):
         return "done", None, []
     if key := _key(tail):
         return ("hanging" if key.startswith("//") and key[-1] in "=&" else "done"), key, []
-    if _OPEN_ROW.search(line):
+    if "|" in line and _OPEN_ROW.search(line):
         above = t[: len(t) - len(line)].rstrip("\n").rpartition("\n")[2].strip()
         return ("done" if above.startswith("|") and not above.endswith("|") else "hanging"), None, []
-    if _CODE_END.search(line):
+    if _CODE_END.search(line[-4:]):
         return "done", None, []
-    if not _WORD_END.search(t):
-        return ("hanging" if state == "open" and _DANGLING.search(t) else "done"), None, []
+    if not _WORD_END.search(t[-1:]):
+        return ("hanging" if state == "open" and _DANGLING.search(t[-1:]) else "done"), None, []
     run: list[str] = []
     for token in _TOKEN.findall(line):
         run = run + [_plain(token)] if token[0].isalnum() else []
@@ -137,20 +144,31 @@ def _endings(docs: DataFrame) -> DataFrame:
     return docs.mapInPandas(run, ENDINGS)
 
 
+class _Next(dict):
+    """Of the words that follow one word: whether the pair is asked."""
+
+    def __init__(self, first: str, asked: bloom.Bloom) -> None:
+        super().__init__()
+        self.first, self.asked = first, asked
+
+    def __missing__(self, word: str) -> bool:
+        found = self[word] = f"{self.first} {word}" in self.asked
+        return found
+
+
 class _Words(dict):
-    """What is known of a token: None if it's no word, else (plain form, whether its counts are asked, whether what follows it is)."""
+    """What is known of a token: None if it's no word, else (plain form, whether its counts are asked, what follows it, whether that is asked)."""
 
     def __init__(self, asked: bloom.Bloom) -> None:
         super().__init__()
         self.asked = asked
+        self.start = _Next("^", asked), "<^" in asked
 
     def __missing__(self, token: str):
-        if len(self) > _FLUSH:
-            self.clear()
         found = None
         if token[0].isalnum():
             word = _plain(token)
-            found = word, word in self.asked, f"<{word}" in self.asked
+            found = word, word in self.asked, _Next(word, self.asked), f"<{word}" in self.asked
         self[token] = found
         return found
 
@@ -163,45 +181,53 @@ class _Asked(dict):
         self.asked = asked
 
     def __missing__(self, gram: str) -> bool:
-        if len(self) > _FLUSH:
-            self.clear()
         found = self[gram] = gram in self.asked
         return found
 
 
-def _count(text: str, words: _Words, asked: _Asked, after_start: bool, found: dict[str, list[int]]) -> None:
+class _Found(dict):
+    """gram: [inside, ends, last]."""
+
+    def __missing__(self, gram: str) -> list[int]:
+        found = self[gram] = [0, 0, 0]
+        return found
+
+
+def _count(text: str, words: _Words, asked: _Asked, found: _Found) -> None:
     """Adds what a stripped text shows to found."""
     for key in _known_keys(text):
-        found.setdefault(key, [0, 0, 0])[0] += 1
+        found[key][0] += 1
     infos = list(map(words.__getitem__, _TOKEN.findall(text)))
-    infos.append("end")
-    run: list[str] = ["^"]
-    follows = after_start
-    for k, info in enumerate(infos[:-1]):
+    ats = [1 if x is None else 0 for x in infos[1:]]
+    ats.append(2)
+    start = words.start
+    one = two = three = None  # the words before; ^ and None at a start
+    after, follows = start
+    at_start = True
+    for info, at in zip(infos, ats):
         if info is None:
-            if len(run) > 1:
-                run, follows = ["^"], after_start
+            if not at_start:
+                at_start, one, two, three = True, None, None, None
+                after, follows = start
             continue
-        word, word_asked, before = info
-        then = infos[k + 1]
-        at = 1 if then is None else 2 if then == "end" else 0
+        word, word_asked, then, then_follows = info
+        if at_start:
+            one, at_start = "^", False
         if word_asked:
-            found.setdefault(word, [0, 0, 0])[at] += 1
+            found[word][at] += 1
         elif at != 2 and word not in found:
-            found[word] = [1, 0, 0]
-        pair = f"{run[-1]} {word}"
-        if asked[pair]:
-            found.setdefault(pair, [0, 0, 0])[at] += 1
-            if len(run) > 1:
-                three = f"{run[-2]} {pair}"
-                if asked[three]:
-                    found.setdefault(three, [0, 0, 0])[at] += 1
-                if len(run) > 2 and asked[four := f"{run[-3]} {three}"]:
-                    found.setdefault(four, [0, 0, 0])[at] += 1
-        elif follows and at != 2 and pair not in found:
-            found[pair] = [1, 0, 0]
-        run.append(word)
-        follows = before
+            found[word][0] = 1
+        if after[word]:
+            pair = f"{one} {word}"
+            found[pair][at] += 1
+            if two is not None and asked[longer := f"{two} {pair}"]:
+                found[longer][at] += 1
+                if three is not None and asked[longer := f"{three} {longer}"]:
+                    found[longer][at] += 1
+        elif follows and at != 2 and (pair := f"{one} {word}") not in found:
+            found[pair][0] = 1
+        three, two, one = two, one, word
+        after, follows = then, then_follows
 
 
 def _counts(docs: DataFrame, filter_of_asked: bytes) -> DataFrame:
@@ -212,9 +238,9 @@ def _counts(docs: DataFrame, filter_of_asked: bytes) -> DataFrame:
     bits = docs.sparkSession.sparkContext.broadcast(filter_of_asked)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: dict[str, list[int]] = {}
+        found = _Found()
         of = bloom.Bloom(bits.value)
-        words, asked, after_start = _Words(of), _Asked(of), "<^" in of
+        words, asked = _Words(of), _Asked(of)
 
         def flush() -> pd.DataFrame:
             frame = pd.DataFrame([(k, *v) for k, v in found.items()], columns=["gram", "inside", "ends", "last"])
@@ -224,9 +250,10 @@ def _counts(docs: DataFrame, filter_of_asked: bytes) -> DataFrame:
         for batch in batches:
             for text in batch.iloc[:, 0]:
                 if text is not None:
-                    _count(text.rstrip(), words, asked, after_start, found)
+                    _count(text.rstrip(), words, asked, found)
                 if len(found) > _FLUSH:
                     yield flush()
+                    words, asked = _Words(of), _Asked(of)  # what is remembered is bounded, too
         if found:
             yield flush()
 
