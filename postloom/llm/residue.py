@@ -1,7 +1,7 @@
 """Template residue, filler, error pages and script notices in place of content.
 
 A multi-pattern automaton finds phrases of many languages in the letters of the text. A text is residue when the phrases cover most of
-its letters, when it holds an unfilled placeholder outside code, or when nothing but printed empty values is in it. One pass over whole
+its letters and one of them decides (everyday words and bits of sentences only support others), when it holds an unfilled placeholder outside code, or when nothing but printed empty values is in it. One pass over whole
 texts, no shuffle; phrases are data, so more can be given.
 """
 
@@ -26,9 +26,9 @@ PHRASES: dict[str, tuple[str, ...]] = {
         "you are not allowed to see this content", "you don t have permission to view this resource", "you do not have permission to view this resource", "you don t have permission to access", "you do not have permission to access", "on this server", "you don t have access to this page", "access denied", "access is denied", "permission denied",
         "something went wrong on our end", "something went wrong", "an error occurred", "an unexpected error occurred", "an unexpected error has occurred", "try again later", "please try again later", "please try again", "please try again in minutes", "try again in minutes", "slow down and try again in minutes", "please try again in a few minutes", "in a few minutes", "slow down and",
         "if the problem persists contact the administrator", "if the problem persists", "contact the administrator", "please contact support", "rate limit reached", "rate limit exceeded", "retry after", "quota exceeded", "we can t reach that page right now", "we couldn t load this page", "can t reach this page", "this site can t be reached", "refused to connect", "took too long to respond",
-        "host unreachable", "cloud edge host unreachable", "connection refused", "connection timed out", "connection reset", "timed out", "server edge", "nginx", "apache", "cloudflare", "varnish", "openresty", "request id", "incident id", "ray id", "reference", "error reference", "trace id",
-        "traceback most recent call last", "file render py line in page", "keyerror post body", "nullpointerexception", "exception in thread main", "segmentation fault", "uncaught typeerror", "syntaxerror", "typeerror", "valueerror", "attributeerror", "stack trace",
-        "home login help", "home", "login", "log in", "help", "back to start page", "back to home", "go back", "go to homepage", "return to homepage", "all rights reserved", "contact us", "menu", "skip to content", "the site is down for maintenance", "we are down for maintenance", "down for maintenance", "under maintenance", "we ll be back soon", "we will be back soon", "this video is unavailable", "this post is unavailable", "content unavailable", "database connection failed", "error establishing a database connection",
+        "host unreachable", "host is unreachable", "network is unreachable", "no route to host", "name or service not known", "could not resolve host", "connection refused", "connection timed out", "connection reset", "timed out", "server edge", "nginx", "apache", "cloudflare", "varnish", "openresty", "request id", "incident id", "ray id", "reference", "error reference", "trace id",
+        "traceback most recent call last", "nullpointerexception", "exception in thread main", "segmentation fault", "uncaught typeerror", "syntaxerror", "typeerror", "valueerror", "attributeerror", "stack trace",
+        "home", "login", "log in", "help", "back to start page", "back to home", "go back", "go to homepage", "return to homepage", "all rights reserved", "contact us", "menu", "skip to content", "the site is down for maintenance", "we are down for maintenance", "down for maintenance", "under maintenance", "we ll be back soon", "we will be back soon", "this video is unavailable", "this post is unavailable", "content unavailable", "database connection failed", "error establishing a database connection",
         "seite nicht gefunden", "die angeforderte adresse existiert nicht", "die angeforderte seite wurde nicht gefunden", "fehler", "zugriff verweigert", "sie haben keine berechtigung diese seite anzusehen", "sie haben keine berechtigung", "interner serverfehler", "bitte versuchen sie es später erneut", "bitte versuchen sie es spater erneut", "ein fehler ist aufgetreten", "dienst nicht verfügbar", "es ist ein fehler aufgetreten",
         "erreur", "une erreur interne est survenue", "une erreur est survenue", "veuillez réessayer plus tard", "veuillez reessayer plus tard", "page introuvable", "page non trouvée", "la page demandée n existe pas", "la page que vous recherchez n existe pas", "accès refusé", "acces refuse", "vous n avez pas l autorisation d afficher cette page", "service indisponible",
         "acceso denegado", "no tiene permiso para ver esta página", "no tiene permiso para ver esta pagina", "página no encontrada", "pagina no encontrada", "la página que busca no existe", "la dirección solicitada no existe", "ha ocurrido un error", "se ha producido un error", "inténtelo de nuevo más tarde", "intentelo de nuevo mas tarde", "error interno del servidor", "servicio no disponible",
@@ -61,9 +61,30 @@ PHRASES: dict[str, tuple[str, ...]] = {
         "todo write caption", "todo write post", "todo write this", "todo write", "todo add text", "todo", "tbd", "tba", "fixme", "write caption", "caption tbd", "placeholder text", "placeholder", "this is a placeholder", "dummy text", "this is dummy text", "this is a test", "this is a test post", "test post", "test post please ignore", "just a test", "testing", "testing testing", "please ignore", "test", "ignore this post", "hello world", "asdf", "asdfasdf", "asdfgh", "asdfghjkl", "qwerty", "qwer", "blah blah blah", "blah blah", "foo bar baz", "foo bar", "xxx", "xxxx", "lorem ipsum", "lorem ipsum dolor sit amet", "coming soon", "draft", "untitled", "untitled post", "new post", "no content", "no text", "empty",
         "text hier einfügen", "ihr text hier", "hier steht ihr text", "titel hier einfügen", "votre texte ici", "insérez votre texte ici", "titre ici", "su texto aquí", "escriba su texto aquí", "inserte texto aquí", "título aquí", "seu texto aqui", "insira o texto aqui", "il tuo testo qui", "inserisci il testo qui", "uw tekst hier", "tekst hier invoegen", "din text här", "tutaj wpisz tekst", "metninizi buraya yazın", "ваш текст здесь", "вставьте текст", "ваш текст тут", "在此输入文本", "请输入内容", "ここにテキストを入力", "テキストを入力してください",
     ),
-    "empty_value": ("undefined", "null", "nan", "none", "nil", "n a", "object object", "nan likes", "undefined comments", "undefined likes", "nan comments", "null comments", "null likes", "likes", "comments", "shares", "empty string", "no value", "missing value", "ref", "value", "nat", "undefined shares", "nan shares"),
+    "empty_value": ("undefined", "null", "nan", "none", "nil", "n a", "object object", "likes", "comments", "shares", "empty string", "no value", "missing value", "ref", "value", "nat"),
 }
 
+#: Words and bits of sentences that are on such pages but also in any post: they count for the coverage, but a text of them alone is content,
+#: unless it has a status code of an error.
+SUPPORT = frozenset(
+    (
+        "error", "http", "https", "oops", "whoops", "sorry", "uh oh", "hmm", "conflict", "gone", "forbidden", "unauthorized", "not implemented", "reference", "home", "login", "log in", "help", "menu", "go back", "contact us", "sign in", "sign up", "all rights reserved", "timed out", "does not exist",
+        "could not be found", "on this server", "slow down and", "try again in minutes", "in a few minutes", "please try again", "reload the page", "refused to connect", "retry after", "nginx", "apache", "cloudflare", "varnish", "openresty", "cloud", "edge", "proxy", "origin", "gateway", "upstream", "cdn", "server", "browser", "host",
+        "please turn it on", "in your browser settings", "and reload", "and reload the page", "to view this page", "to view this content", "to continue", "to see this post", "just a moment", "this may take a few seconds", "members only", "coming soon", "draft", "untitled", "new post", "empty", "placeholder", "before publishing", "please ignore",
+        "likes", "comments", "shares", "views", "none", "nil", "value", "ref", "n a", "fehler", "erreur", "errore", "erro", "fout", "fel", "hata", "błąd", "ошибка", "помилка", "错误", "エラー", "um fortzufahren", "um diese seite anzuzeigen", "pour continuer", "pour afficher ce contenu", "para continuar", "en su navegador",
+        "no seu navegador", "para ver esta página", "per continuare", "nel tuo browser", "per visualizzare questa pagina", "om deze pagina te bekijken", "devam etmek için", "bu sayfayı görüntülemek için", "чтобы продолжить", "щоб продовжити", "для просмотра этой страницы", "для перегляду цієї сторінки", "ご確認ください", "headerline",
+    )
+)
+#: Phrases that stand for lines found by pattern.
+_LINES = {"error_page": ("tracebackline", "headerline")}
+#: Lines of stack traces of common languages, and of the head of a response of a server.
+_FRAME = re.compile(r"""^[ \t]*(?:File\ "[^"\n]*",\ line\ \d+(?:,\ in\ \S+)? | at\ [\w$.<>]+\s?\([^()\n]*\))[ \t]*$""", re.M | re.X | re.I)
+_RAISED = re.compile(r"^[ \t]*(?:Caused by: )?(?:[\w$]+\.)*\w+(?:Error|Exception)\b(?::[^\n]*)?$", re.M | re.I)
+_HEADER = re.compile(r"^[ \t]*(?:server|via|date|connection|age|location|retry-after|cache-control|content-(?:type|length)|cf-ray|x-[\w-]+)[ \t]*:[^\n]*$", re.M | re.I)
+_STATUS = re.compile(r"(?<![\w.,/-])[45]\d\d(?![\w,/-]|\.\d)")
+#: A whole text as a language prints an absent value.
+_PRINTED = frozenset(("None", "nil", "N/A", "n/a", "<NA>", "NaT", "<null>", "(null)", "[null]", "[object Object]", "{}", "[]"))
+
 #: The running filler text of typesetting; fixed values.
 LOREM = frozenset(
     """lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim
@@ -96,48 +117,60 @@ def letters(text: str) -> str:
     return " ".join([w for w in _WORDS.findall((_TAG.sub(" ", text) if "<" in text else text).lower()) if w.isalpha()])
 
 
-def build_automaton(phrases: dict[str, tuple[str, ...]] | None = None) -> ahocorasick.Automaton:
+def build_automaton(phrases: dict[str, tuple[str, ...]] | None = None, support: frozenset[str] = SUPPORT) -> ahocorasick.Automaton:
+    """The phrases, with their reason, length and whether they decide."""
     found = ahocorasick.Automaton()
-    for reason, own in (phrases or PHRASES).items():
+    supporting = {letters(x) for x in support}
+    for p in supporting:
+        found.add_word(p, ("error_page", len(p), False))
+    for reason, own in [*(phrases or PHRASES).items(), *_LINES.items()]:
         for p in own:
             if n := letters(p):
-                found.add_word(n, (reason, len(n)))
+                found.add_word(n, (reason, len(n), n not in supporting))
     found.make_automaton()
     return found
 
 
-def coverage(text: str, automaton: ahocorasick.Automaton) -> tuple[float, str]:
-    """The share of letters covered by whole-word phrases, and the reason that covers most. 0 for a text without letters."""
+def coverage(text: str, automaton: ahocorasick.Automaton) -> tuple[float, str, bool]:
+    """The share of letters covered by whole-word phrases, the reason that covers most, and whether a phrase that decides is among them. 0 for a
+    text without letters."""
     t = letters(text)
     if not t:
-        return 0.0, ""
+        return 0.0, "", False
     spans = []
-    for end, (reason, n) in automaton.iter(t):
+    for end, (reason, n, decides) in automaton.iter(t):
         start = end - n + 1
         if (start == 0 or t[start - 1] == " " or _CJK.match(t[start])) and (end + 1 == len(t) or t[end + 1] == " " or _CJK.match(t[end])):
-            spans.append((start, end + 1, reason))
-    covered, upto, by = 0, 0, {}
-    for start, end, reason in sorted(spans, key=lambda s: (s[0], -s[1])):
+            spans.append((start, end + 1, reason, decides))
+    covered, upto, by, decided = 0, 0, {}, False
+    for start, end, reason, decides in sorted(spans, key=lambda s: (s[0], -s[1])):
+        decided = decided or decides
         if end > upto:
             new = t[max(start, upto) : end]
             n = len(new) - new.count(" ")
             covered, upto = covered + n, end
             by[reason] = by.get(reason, 0) + n
     total = len(t) - t.count(" ")
-    return covered / total, max(by, key=by.get) if by else ""
+    return covered / total, max(by, key=by.get) if by else "", decided
 
 
 def judge(text: str | None, automaton: ahocorasick.Automaton, least: float = 0.6) -> tuple[str, float]:
     """(reason, coverage); the reason is empty for content. Null, empty and blank texts are content, as are texts of code alone."""
     if text is None or not text.strip():
         return "", 0.0
+    if text.strip() in _PRINTED:
+        return "empty_value", 1.0
     prose = _CODE.sub(" ", text) if "`" in text else text
     if _LIKELY.search(prose) and _PLACEHOLDER.search(prose):
         return "placeholder", 1.0
     if not prose.strip():
         return "", 0.0
-    share, reason = coverage(prose, automaton)
-    if share >= least:
+    if ":" in prose or "(" in prose or '"' in prose:
+        prose = _HEADER.sub(" headerline ", prose)
+        if _FRAME.search(prose):
+            prose = _RAISED.sub(" tracebackline ", _FRAME.sub(" tracebackline ", prose))
+    share, reason, decided = coverage(prose, automaton)
+    if share >= least and (decided or _STATUS.search(prose)):
         return reason, share
     words = letters(prose).split()
     if len(words) >= 4 and (n := sum(w in LOREM for w in words) / len(words)) >= 0.75:
