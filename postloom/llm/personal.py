@@ -1,8 +1,8 @@
 """Personal data in free text, replaced by typed placeholders.
 
 Patterns propose spans; checksums confirm identity numbers; words near a span raise or lower its score; spans at or above the threshold count,
-and of overlapping ones the best. Names are proposed from a lexicon of the corpus' own author names, kept as a Bloom filter of fixed
-size that is built by a distributed aggregation, and from the words that introduce a person. Texts are read where they lie, in one pass.
+and of overlapping ones the best. Names are proposed from a lexicon of the corpus' own author names, kept as a Bloom filter that is sized by
+their number and built by a distributed aggregation, and from the words that introduce a person. Texts are read where they lie, in one pass.
 """
 
 from __future__ import annotations
@@ -11,14 +11,12 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
-import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from . import bloom
+
 THRESHOLD = 0.5
-#: Bits of the lexicon's Bloom filter, three hashes of 21 bits a name: 256 KB whatever the corpus; 1.5 % false hits at 200,000 names.
-BLOOM_BITS = 21
 
 _AT = r"(?:\s?[@＠]\s?|\s*[\[(]\s*at\s*[\])]\s*)"
 _DOT = r"(?:\.|\s*[\[(]\s*dot\s*[\])]\s*|\s+dot\s+)"
@@ -35,7 +33,7 @@ _ID_KIND = r"""(?:social\s+security(?:\s+(?:number|no\.?|num))?|ssn|soc(?:ial)?\
   |pesel|nip|personnummer|personnr\.?|samordningsnummer|fødselsnummer|cpr|hetu|dni|nie|nif|cif|aadhaar|aadhar|pan\s?(?:card|number)|steuer-?\s?id(?:entifikationsnummer)?|steueridentifikationsnummer|steuernummer|idnr\.?|sozialversicherungsnummer|personalausweis(?:nummer|nr\.?)?|ausweis(?:nummer|nr\.?)
   |codice\s+fiscale|carta\s+d['’]identità|insee|nir|numéro\s+de\s+sécurité\s+sociale|sécurité\s+sociale|bsn|burgerservicenummer|sofinummer|cpf|rg|curp|rfc|nss|cédula|cedula|rut|tax\s+(?:id|number|no\.?)|taxpayer\s+(?:id|number)|tin|itin|identity\s+card(?:\s+(?:no\.?|number))?|id\s+card(?:\s+(?:no\.?|number))?|national\s+id(?:entity)?(?:\s+(?:card|no\.?|number))?|kimlik(?:\s+no)?|tc\s+kimlik(?:\s+no)?|vergi\s+no|sin|medicare(?:\s+(?:no\.?|number))?|driver'?s?\s+licen[cs]e(?:\s+(?:no\.?|number))?|инн|снилс|паспорт|身份证(?:号)?|マイナンバー)"""
 NATIONAL_ID = re.compile(rf"(?<![\w-])(?P<kind>{_ID_KIND})(?P<between>\s*(?:[:#=]|is|was|are|ist|est|es|è|é|of|number|no\.?|nr\.?|\()?\s*[:#(]?\s*)(?P<id>(?=[A-Z]*[ -]?(?:[A-Z0-9./ -]*\d){{4}})[A-Z]{{0,4}}[ .-]?\d[\dA-Z]*(?:[ ./-][\dA-Z]*\d[\dA-Z]*)*(?:[ -]?[A-Z])?)(?![\w])", re.I | re.X)
-BARE_ID = re.compile(r"(?<![\w.@/-])(?:\d{3}-\d{2}-\d{4}|\d{6}[-+]\d{4}|\d{3}\.\d{3}\.\d{3}-\d{2}|\d{8}-?[A-HJ-NP-TV-Z]|[XYZ]-?\d{7}-?[A-HJ-NP-TV-Z]|[A-CEGHJ-PR-TW-Z][A-CEGHJ-NPR-TW-Z] ?\d{2} ?\d{2} ?\d{2} ?[A-D]|[12] ?\d{2} ?\d{2} ?\d{2,3} ?\d{3} ?\d{3} ?\d{2}|\d{4} \d{4} \d{4}|\d{2} \d{3} \d{3} \d{3}|\d{11})(?![\w]|[.-]\d)")
+BARE_ID = re.compile(r"(?<![\w.@/-])(?:\d{3}-\d{2}-\d{4}|\d{6}[-+]\d{4}|\d{6}[-+A]\d{3}[A-HJ-NPR-Y]|\d{3}\.\d{3}\.\d{3}-\d{2}|\d{8}-?[A-HJ-NP-TV-Z]|[XYZ]-?\d{7}-?[A-HJ-NP-TV-Z]|[A-CEGHJ-PR-TW-Z][A-CEGHJ-NPR-TW-Z] ?\d{2} ?\d{2} ?\d{2} ?[A-D]|[12] ?\d{2} ?\d{2} ?\d{2,3} ?\d{3} ?\d{3} ?\d{2}|\d{4} \d{4} \d{4}|\d{2} \d{3} \d{3} \d{3}|\d{11})(?![\w]|[.-]\d)")
 
 _EN_TYPE = r"(?:street|avenue|road|lane|boulevard|drive|court|place|square|terrace|close|crescent|parkway|highway|way|walk|mews|hill|row|st|ave|rd|ln|blvd|dr|ct|pl|sq|ter|cres|pkwy|hwy)"
 _NAME_WORD = r"(?!(?:and|or|the|of|to|in|on|at|for|with|from|by|a|an|is|was|are|were|people|weeks?|months?|days?|hours?|percent|open|mistakes?|messages?|jobs?|items?|tickets?|rows?|pages?|tests?|minutes?|years?|internal|more|fewer|questions?)\b)[^\W\d_][\w'’-]*"
@@ -118,36 +116,107 @@ def iso7064(text: str) -> bool:
     return (11 - p) % 10 == d[-1]
 
 
+def _mod11(d: list[int], weights: tuple[int, ...]) -> int:
+    """The check digit after the weighted digits: 11 less their sum modulo 11; 10 is no digit."""
+    return (11 - sum(a * b for a, b in zip(d, weights)) % 11) % 11
+
+
+def _date(day: int, month: int) -> bool:
+    return 1 <= day <= 31 and 1 <= month <= 12
+
+
+def cpf(d: list[int]) -> bool:
+    """Brazil, 11 digits."""
+    check = lambda n: (sum(x * w for x, w in zip(d, range(n + 1, 1, -1))) * 10 % 11) % 10
+    return len(d) == 11 and len(set(d)) > 1 and check(9) == d[9] and check(10) == d[10]
+
+
+def pesel(d: list[int]) -> bool:
+    """Poland, 11 digits that begin with a date of birth."""
+    return len(d) == 11 and sum(a * b for a, b in zip(d, (1, 3, 7, 9, 1, 3, 7, 9, 1, 3, 1))) % 10 == 0 and _date(d[4] * 10 + d[5], d[2] % 2 * 10 + d[3])
+
+
+def tax_id_de(d: list[int]) -> bool:
+    """Germany, 11 digits: of the first ten just one digit comes two or three times, the last is the ISO 7064 check digit."""
+    return len(d) == 11 and d[0] != 0 and sorted(d[:10].count(x) for x in set(d[:10]))[-2:] in ([1, 2], [1, 3]) and iso7064("".join(map(str, d)))
+
+
+def kimlik(d: list[int]) -> bool:
+    """Türkiye, 11 digits."""
+    return len(d) == 11 and d[0] != 0 and (7 * sum(d[0:9:2]) - sum(d[1:8:2])) % 10 == d[9] and sum(d[:10]) % 10 == d[10]
+
+
+def birth_number_no(d: list[int]) -> bool:
+    """Norway, 11 digits that begin with a date of birth."""
+    return len(d) == 11 and _date((d[0] * 10 + d[1]) % 40, (d[2] * 10 + d[3]) % 40) and _mod11(d, (3, 7, 6, 1, 8, 9, 4, 5, 2)) == d[9] and _mod11(d, (5, 4, 3, 2, 7, 6, 5, 4, 3, 2)) == d[10]
+
+
+def ssn(d: list[int]) -> bool:
+    """United States, 9 digits: no check digit, but areas, groups and serials that are never given. An area from 900 on is a tax number's."""
+    return len(d) == 9 and not (d[:3] in ([0, 0, 0], [6, 6, 6]) or d[3:5] == [0, 0] or d[5:] == [0, 0, 0, 0])
+
+
+def bsn(d: list[int]) -> bool:
+    """Netherlands, 9 digits."""
+    return len(d) == 9 and any(d) and (sum(x * w for x, w in zip(d, range(9, 1, -1))) - d[8]) % 11 == 0
+
+
+def hetu(text: str) -> bool:
+    """Finland: a date, a sign, three digits and the character of their remainder by 31."""
+    m = re.fullmatch(r"(\d{6})[-+A](\d{3})([0-9A-Y])", text.upper())
+    return bool(m) and _date(int(m[1][:2]), int(m[1][2:4])) and "0123456789ABCDEFHJKLMNPRSTUVWXY"[int(m[1] + m[2]) % 31] == m[3]
+
+
+def verhoeff(d: list[int]) -> bool:
+    """The check of the dihedral group of order ten, as for twelve digits in India."""
+    c = 0
+    for i, x in enumerate(reversed(d)):
+        for _ in range(i % 8):
+            x = (1, 5, 7, 6, 2, 8, 3, 0, 9, 4)[x]
+        # c times x in the group: rotations are 0-4, reflections 5-9
+        c = (c + x) % 5 if c < 5 and x < 5 else (c + x - 5) % 5 + 5 if c < 5 else (c - 5 - x) % 5 + 5 if x < 5 else (c - x) % 5
+    return c == 0
+
+
 def valid_id(text: str) -> bool:
-    """Whether a number in one of the bare shapes passes its country's checksum."""
+    """Whether a number passes the checksum of a country that has its shape."""
     d = _digits(text)
+    flat = re.sub(r"[ ./-]", "", text)
+    if impossible_id(text):
+        return False
+    if re.fullmatch(r"\d{3}-\d{2}-\d{4}", text):
+        return ssn(d)
+    if not flat.isdigit():
+        return letter23(flat) or hetu(text.strip())
     return (
-        letter23(re.sub(r"[ -]", "", text))
-        or len(d) == 10 and "-" in text and luhn(text)
-        or len(d) == 15 and mod97(text)
-        or len(d) == 11 and (weighted(text, (1, 3, 7, 9, 1, 3, 7, 9, 1, 3, 1), 10) and 1 <= (d[2] % 2 * 10 + d[3]) <= 12 and 1 <= d[4] * 10 + d[5] <= 31)
+        len(d) == 9 and (bsn(d) or luhn(flat))
+        or len(d) == 10 and bool(re.search(r"[-+]", text)) and luhn(flat)
+        or len(d) == 11 and (cpf(d) or pesel(d) or tax_id_de(d) or kimlik(d) or birth_number_no(d))
+        or len(d) == 12 and (d[0] > 1 and verhoeff(d) or luhn(flat[2:]))
+        or len(d) == 15 and mod97(flat)
     )
 
 
+def impossible_id(text: str) -> bool:
+    """Whether a labelled number stands for none: one digit over and over. Labelled numbers that only fail a checksum may be mistyped and are
+    still a person's."""
+    return len(set(_digits(text))) < 2
+
+
 class Lexicon:
     """The Bloom filter of given ("g:") and family ("f:") names, with a cache of the words asked for."""
 
     def __init__(self, bits: bytes | None) -> None:
-        self.bits = np.frombuffer(bits, dtype=np.uint64) if bits else None
+        self.bits = bloom.Bloom(bits) if bits else None
         self.cache: dict[str, tuple[bool, bool]] = {}
 
-    def _has(self, key: str) -> bool:
-        h = xxhash.xxh64_intdigest(key.encode(), seed=42)
-        mask = (1 << BLOOM_BITS) - 1
-        return all(int(self.bits[p >> 6]) >> (p & 63) & 1 for p in (h & mask, h >> 21 & mask, h >> 42 & mask))
-
     def roles(self, word: str) -> tuple[bool, bool]:
         """Whether it's known as a given and as a family name, in any case."""
         if (found := self.cache.get(word)) is None:
             if len(self.cache) > 300_000:
                 self.cache.clear()
             w = word.lower().replace("’", "'")
-            found = self.cache[word] = (False, False) if self.bits is None or w in _NO_NAME or w in _ORG or len(w) < 3 else (self._has("g:" + w), self._has("f:" + w))
+            found = self.cache[word] = (False, False) if self.bits is None or w in _NO_NAME or w in _ORG or len(w) < 3 else ("g:" + w in self.bits, "f:" + w in self.bits)
         return found
 
 
@@ -183,7 +252,8 @@ def author_parts(name: str | None) -> tuple[str, str] | None:
 def name_lexicon(df: DataFrame, name_col: str, least: int = 3) -> bytes:
     """The Bloom filter of the names in a column of display names; a name counts when at least `least` rows have it in its place.
 
-    The counts are a distributed aggregation, the filter's words are or-ed likewise; 2**BLOOM_BITS / 64 words at most reach the driver.
+    The counts are a distributed aggregation, and so is the filter. With 24 bits a name fewer than one unknown word in 10,000 is taken for a name at any
+    size of the corpus; names for a filter of more than 128 MB (40 million) are an error.
     """
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -200,14 +270,7 @@ def name_lexicon(df: DataFrame, name_col: str, least: int = 3) -> bytes:
             yield pd.DataFrame(list(found.items()), columns=["k", "n"])
 
     names = df.select(F.translate(name_col, "’", "'").alias("name")).mapInPandas(parts, "k string, n bigint").groupBy("k").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    h = F.xxhash64("k")
-    mask = (1 << BLOOM_BITS) - 1
-    at = F.explode(F.array(*(F.shiftrightunsigned(h, s).bitwiseAND(F.lit(mask).cast("bigint")) for s in (0, 21, 42)))).alias("at")
-    words = names.select(at).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
-    out = np.zeros(1 << (BLOOM_BITS - 6), dtype=np.int64)
-    for r in words:
-        out[r.word] = r.bits
-    return out.tobytes()
+    return bloom.build(names.select("k"), strict=True, per_key=24)
 
 
 def _name_spans(text: str, lexicon: Lexicon, titled: bool) -> Iterator[tuple[int, int, str, float]]:
@@ -313,11 +376,12 @@ def _proposed(text: str, lexicon: Lexicon) -> Iterator[tuple[int, int, str, floa
     if has_digit and ids:
         for m in NATIONAL_ID.finditer(text):
             if sum(c.isdigit() for c in m["id"]) >= 5:
-                yield m.start("id"), m.end("id"), "national_id", 0.85 + 0.1 * valid_id(m["id"])
+                yield m.start("id"), m.end("id"), "national_id", 0.85 + 0.1 * valid_id(m["id"]) - 0.4 * impossible_id(m["id"].strip())
     if has_digit and _SIX_DIGITS.search(text):
         for m in BARE_ID.finditer(text):
-            if not _NOT_PERSONAL.search(text[max(0, m.start() - 40) : m.start()]):
-                yield m.start(), m.end(), "national_id", 0.2 + 0.35 * (valid_id(m[0]) and len(_digits(m[0])) != 11)
+            near = text[max(0, m.start() - 40) : m.start()]
+            if not _NOT_PERSONAL.search(near):
+                yield m.start(), m.end(), "national_id", 0.2 + (_confirmed(m[0]) if valid_id(m[0]) else 0.0) + 0.2 * bool(_ID_NEAR.search(near)) - 0.3 * bool(_PHONE_WORDS.search(near) or _LOCAL.fullmatch(m[0]))
         for m in PHONE.finditer(text):
             if (found := _phone(text, m)) is not None:
                 yield found
@@ -342,6 +406,18 @@ def _proposed(text: str, lexicon: Lexicon) -> Iterator[tuple[int, int, str, floa
 
 
 _ANY_DIGIT = re.compile(r"\d")
+#: Words of people and papers, near which a bare number is more likely a person's.
+_ID_NEAR = re.compile(r"\b(?:id|ident\w*|passport|citizen\w*|born|birth|social|insur\w*|tax\w*|employee|patient|holder|his|her|my|their|ausweis\w*|steuer\w*|documento|identi\w*)\b", re.I)
+
+
+def _confirmed(text: str) -> float:
+    """What a checksum adds to a bare number: less where a tenth of all numbers pass."""
+    d = _digits(text)
+    if re.search(r"[A-Za-z./-]", text) or len(d) > 12:
+        return 0.35
+    return 0.3 if len(d) == 11 and (cpf(d) or kimlik(d) or birth_number_no(d) or pesel(d)) else 0.2
+
+
 _THEN_NUMBER = re.compile(r"\s+\d")
 _LOCAL = re.compile(r"\(?[2-9]\d{2}\)?[-. ]\s?[2-9]\d{2}[-. ]\d{4}|0\d{2,5}\s?[/-]\s?\d{3,}[\d\s-]*|0[1-9]\d{2,3}[ -]?\d{6}|1[2-9]\d{2}[2-9]\d{6}|1?[-. ]?\(?[2-9]\d{2}\)?[-. ]\s?\d{3}[-. ]\d{4}|0\d(?:[ .]\d{2}){4}")
 _NOT_PHONE = re.compile(r"\d{4}-\d{2}-\d{2}|\d{1,3}(?:\.\d{1,3}){3}|\d{1,3}(?: \d{3})+|\d{1,2}\.\d{1,2}\.\d{4}|\d{3}-\d{2}-\d{4}")
@@ -418,7 +494,7 @@ def find_personal(df: DataFrame, id_col: str, text_col: str, name_col: str, lexi
     shipped = name_lexicon(df, name_col) if lexicon is None else lexicon
     lean = df.select(F.col(id_col), F.col(text_col), F.col(name_col))
     kind_of_id = dict(lean.dtypes)[id_col]
-    bits = df.sparkSession.sparkContext.broadcast(shipped)  # 256 KB at any size of the corpus
+    bits = df.sparkSession.sparkContext.broadcast(shipped)  # at most 128 MB; see name_lexicon()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = Lexicon(bits.value)

@@ -1,8 +1,12 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
+from postloom.llm import bloom as B, personal as P
 from postloom.llm.canonical import edits, map_values
 from postloom.llm.language import codewords, find_segments, label_code, seed_samples, sentences, train, wrong_labels
-from postloom.llm.personal import author_parts, find_personal, letter23, luhn, mod97, name_lexicon, redacted
+from postloom.llm.personal import Lexicon, author_parts, find_personal, letter23, luhn, mod97, name_lexicon, redacted, spans
 from postloom.llm.residue import build_automaton, find_residue, judge
 from postloom.llm.truncation import ending, find_truncated, truncation_rates
 
@@ -63,6 +67,38 @@ def test_personal(spark):
     assert find_personal(df.limit(0), "idx", "post_text", "author_name").count() == 0
 
 
+def test_bare_numbers_by_checksum():
+    kinds = lambda t: {k for _, _, k in spans(t, Lexicon(None))}
+    for t in ("529.982.247-25 is on the form", "he wrote 44051401359 on it", "her entry in the register: 86095742719", "her 10000000146 was printed", "SSN 123-45-6789", "It says 123-45-6789 there", "Ihre Steuer-ID 86095742719", "131052-308T", "BSN 111222333", "his id 2341 2341 2346"):
+        assert kinds(t) == {"national_id"}, t
+    for t in ("529.982.247-26 is on the form", "SSN 000-00-0000", "he wrote 44051401358 on it", "Order 44051401359 shipped", "build 123-45-6789 failed", "tracking number 10000000146", "131052-308U", "row 2341 2341 2347"):
+        assert "national_id" not in kinds(t), t
+
+
+def test_checksums_of_shapes():
+    d = lambda t: [int(c) for c in t]
+    for check, good in ((P.cpf, "52998224725"), (P.pesel, "44051401359"), (P.tax_id_de, "86095742719"), (P.kimlik, "10000000146"), (P.bsn, "111222333"), (P.verhoeff, "2363"), (P.ssn, "123456789")):
+        assert check(d(good))
+        if check is not P.ssn:
+            assert not any(check(d(good[:-1] + str((int(good[-1]) + k) % 10))) for k in range(1, 10))
+    # every error of one digit and every exchange of neighbours is caught by the dihedral check
+    rng = random.Random(4)
+    for _ in range(50):
+        body = [rng.randrange(10) for _ in range(8)]
+        full = next(body + [k] for k in range(10) if P.verhoeff(body + [k]))
+        assert not any(P.verhoeff(full[:i] + [x] + full[i + 1 :]) for i in range(9) for x in range(10) if x != full[i])
+        assert not any(P.verhoeff(full[:i] + [full[i + 1], full[i]] + full[i + 2 :]) for i in range(8) if full[i] != full[i + 1])
+
+
+def test_filter_grows_with_the_names(spark):
+    keys = spark.range(50_000).select(F.concat(F.lit("n"), "id").alias("k"))
+    few, many = B.build(keys.where("id < 10"), strict=True), B.build(keys, strict=True)
+    assert len(many) > len(few) and all(f"n{k}" in B.Bloom(many) for k in range(0, 50_000, 97))
+    assert sum(f"x{k}" in B.Bloom(many) for k in range(20_000)) < 40 and "n1" not in B.Bloom(B.build(keys.limit(0), strict=True))
+    with pytest.raises(ValueError):
+        B.build(keys, strict=True, per_key=1 << 20)
+
+
 def test_redaction():
     assert redacted("mail a@b.example now", [(5, 16, "email")]) == "mail <EMAIL> now" and redacted(None, []) is None
     assert author_parts("TOLLWICK, Mara") == ("Mara", "TOLLWICK") and author_parts("Tarn & Harrow Consulting") is None and author_parts("Dr. Mara O. Tollwick, PhD") == ("Mara", "Tollwick")
