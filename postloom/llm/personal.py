@@ -249,7 +249,7 @@ def author_parts(name: str | None) -> tuple[str, str] | None:
     return words[0], words[-1]
 
 
-def name_lexicon(df: DataFrame, name_col: str, least: int = 3) -> bytes:
+def name_lexicon(df: DataFrame, name_col: str, least: int = 1) -> bytes:
     """The Bloom filter of the names in a column of display names; a name counts when at least `least` rows have it in its place.
 
     The counts are a distributed aggregation, and so is the filter. With 24 bits a name fewer than one unknown word in 10,000 is taken for a name at any
