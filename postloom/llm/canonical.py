@@ -3,7 +3,7 @@
 Within the value's own domain, a multi-pattern automaton over canonical names and aliases finds embedded mentions, of which the longest
 that don't overlap win. An entry has two parts, subject and aspect, and is meant only when both are mentioned. Values left over go
 to token-set similarity: every word of an entry must have a word of the value within a few edits or of the same stem, and the entry with
-the least cost wins. The list is small by nature (checked); values are mapped where they lie, without a shuffle, and each distinct value
+the least cost wins; misspelled words find those of the list by their deletion neighbourhoods, and entries by their rarest word. The list is small by nature (checked); values are mapped where they lie, without a shuffle, and each distinct value
 is worked out once in a task.
 """
 
@@ -22,22 +22,6 @@ from pyspark.sql import DataFrame, functions as F
 MAX_ENTRIES = 200_000
 _CACHE = 200_000
 
-#: Words written short. Fixed values.
-SHORT = {
-    "qtrly": "quarterly", "mgmt": "management", "mgt": "management", "perf": "performance", "cust": "customer", "docs": "documentation", "doc": "documentation", "eng": "engineering", "db": "database", "k8s": "kubernetes", "js": "javascript",
-    "apps": "applications", "app": "application", "reorg": "reorganisation", "asst": "assistant", "autom": "automation", "gov": "governance", "comms": "communication", "resp": "response", "eval": "evaluation", "evals": "evaluation", "sec": "security",
-    "analytix": "analytics", "config": "configuration", "infra": "infrastructure", "dev": "developer", "org": "organisation", "biz": "business", "comp": "comparison", "cmp": "comparison", "diff": "differences", "diffs": "differences", "exec": "executive",
-    "acq": "acquisition", "cert": "certificate", "certs": "certificate", "creds": "credential", "cred": "credential", "pwd": "password", "pw": "password", "repl": "replication", "reqs": "requirements", "req": "requirement", "prep": "preparation", "int": "integration",
-    "lang": "language", "ref": "reference", "refs": "references", "spec": "specification", "stats": "statistics", "std": "standard", "stds": "standards", "temp": "template", "mtg": "meeting", "mgr": "manager", "mngr": "manager", "ppl": "people", "proj": "project", "prod": "product", "qual": "quality",
-    "reg": "regional", "sched": "scheduling", "svc": "service", "synth": "synthetic", "tx": "transaction", "vuln": "vulnerability", "wh": "warehouse", "xfer": "transfer", "ops": "operations", "postgresql": "postgres", "pg": "postgres", "sso": "federation", "recs": "records", "rec": "records", "pct": "percent",
-}
-#: Phrases that mean an aspect or a subject in other words. Fixed values; more can be given.
-PHRASES = {
-    "why it fails": "failure analysis", "why they fail": "failure analysis", "what goes wrong": "failure analysis", "what we learned": "lessons learned", "what we have learned": "lessons learned", "what i learned": "lessons learned", "typical mistakes": "common mistakes", "frequent mistakes": "common mistakes", "mistakes people make": "common mistakes",
-    "tool vs": "tool comparison", "tools vs": "tool comparison", "vendor vs": "vendor comparison", "vendors vs": "vendor comparison", "differences by region": "regional differences", "standard names": "naming standards", "standards for names": "naming standards", "a manager s view": "manager perspective", "manager s view": "manager perspective", "the manager s view": "manager perspective", "view of a manager": "manager perspective",
-    "1 1s": "one on ones", "1 on 1s": "one on ones", "1on1s": "one on ones", "1s": "one on ones", "a b test analysis": "experiment analysis", "ab test analysis": "experiment analysis", "a b testing": "experiment analysis", "re org": "reorganisation", "re organisation": "reorganisation", "re organization": "reorganisation", "plan for migrating": "migration plan", "planning the migration": "migration plan", "long run effects": "long term effects",
-    "cutting cost": "cost control", "keeping cost down": "cost control", "effects over time": "long term effects", "who owns it": "ownership model", "how to measure": "measurement approach", "debate about the roadmap": "roadmap debate", "what it costs per unit": "unit economics", "reporting to the board": "board reporting", "security fixes": "security response", "wfh": "remote",
-}
 _EMPTY = re.compile(r"(?i)^\W*(?:unclassified)?\W*$")
 _STOP = frozenset("a an and at by for from in into it its my of on or our s the their this to we with your".split())
 
@@ -94,13 +78,39 @@ def likeness(a: str, b: str) -> float | None:
     return None
 
 
+class Near:
+    """Which of some words are within a few edits of a word, by their deletion neighbourhoods: two words within d edits can be made equal by taking
+    at most d letters from each, and so can their beginnings. What is looked at doesn't grow with the list but with the words alike."""
+
+    def __init__(self, words, most: int, prefix: int = 8) -> None:
+        self.most, self.prefix = most, prefix
+        self.by: dict[str, list[str]] = defaultdict(list)
+        for w in words:
+            for x in self._less(w):
+                self.by[x].append(w)
+
+    def _less(self, word: str) -> set[str]:
+        found = level = {word[: self.prefix]}
+        for _ in range(self.most):
+            level = {x[:i] + x[i + 1 :] for x in level for i in range(len(x))}
+            found = found | level
+        return found
+
+    def candidates(self, word: str) -> set[str]:
+        return {w for x in self._less(word) for w in self.by.get(x, ()) if abs(len(w) - len(word)) <= self.most}
+
+    def within(self, word: str, most: int) -> list[tuple[int, str]]:
+        """(edits, word) of all at most that far, nearest first."""
+        return sorted((d, x) for x in self.candidates(word) if (d := edits(word, x, most)) <= most)
+
+
 @dataclass
 class Matcher:
     """The entries of one domain: (id, name) in order of rank."""
 
     entries: list[tuple[int, str]]
-    phrases: dict[str, str] = field(default_factory=lambda: PHRASES)
-    short: dict[str, str] = field(default_factory=lambda: SHORT)
+    phrases: dict[str, str] = field(default_factory=dict)
+    short: dict[str, str] = field(default_factory=dict)
     others: frozenset[str] = frozenset()  #: words of other domains, which are no misspellings
 
     def __post_init__(self) -> None:
@@ -135,27 +145,41 @@ class Matcher:
         self.automaton.make_automaton()
         self.sets = [(i, [x for x in w if x not in _STOP] or w) for i, w in named]
         self.words = sorted({x for _, w in self.sets for x in w})
+        self.words_set = frozenset(self.words)
         self.near: dict[str, dict[str, float]] = {}
+        self.close = Near(self.words, 2)
+        self.stems: dict[str, list[str]] = defaultdict(list)
+        for x in self.words:
+            self.stems[x[:4]].append(x)
+        # an entry is looked at only where its rarest word is near
+        often = Counter(x for _, w in self.sets for x in set(w))
+        self.by_rarest: dict[str, list[int]] = defaultdict(list)
+        for at, (_, w) in enumerate(self.sets):
+            self.by_rarest[min(w, key=lambda x: (often[x], x))].append(at)
         self.phrase_words = sorted({x for p in self.phrases for x in p.split() if len(x) > 3})
         self.known = {*self.words, *self.phrase_words, *self.short, *self.others}
-        self.joined = {a + b: f"{a} {b}" for _, w in named for a, b in zip(w, w[1:])} | {"".join(w): " ".join(w) for _, w in named}
+        self.joined: dict[str, str] = {a + b: f"{a} {b}" for _, w in named for a, b in zip(w, w[1:])} | {"".join(w): " ".join(w) for _, w in named}
+
+        self.close_joined = Near(self.joined, 2)
+        self.wide_phrases = Near({x for x in self.phrase_words if len(x) > 3}, 3)
+        self.wide = Near({x for x in (*self.words, *self.phrase_words) if len(x) > 3}, 3)
 
     def spelled(self, value: str) -> str:
         t = f" {normal(value)} "
         for a, b in self.phrases.items():
             if a in t:
                 t = t.replace(f" {a} ", f" {b} ")
-        return " ".join(self.short.get(w, w) if w not in self.words else w for w in t.split())
+        return " ".join(self.short.get(w, w) if w not in self.words_set else w for w in t.split())
 
     def mentions(self, text: str) -> list[tuple[str, str]]:
         """The longest mentions that don't overlap, of which a longer one wins, then an earlier one."""
         t = f" {text} "
         found = sorted(((n, end - n - 1, kind, name) for end, (n, kind, name) in self.automaton.iter(t)), key=lambda x: (-x[0], x[1]))
-        taken: list[tuple[int, int]] = []
+        taken = bytearray(len(t))
         out = []
         for n, start, kind, name in found:
-            if all(start + n + 1 <= a + 1 or start + 1 >= b for a, b in taken):
-                taken.append((start, start + n + 1))
+            if taken.find(1, start + 1, start + n + 1) < 0:
+                taken[start + 1 : start + n + 1] = b"\1" * n
                 out.append((start, kind, name))
         return [(kind, name) for _, kind, name in sorted(out)]
 
@@ -194,8 +218,8 @@ class Matcher:
             for stop in ("the", "our", "a", "for", "in"):
                 if w.startswith(stop) and w[len(stop) :] in self.known:
                     w = w[len(stop) :]
-            best = sorted((edits(w, x, len(w) // 2), x) for x in (self.phrase_words if self._near(w) else {*self.words, *self.phrase_words}) if len(x) > 3)
-            ok = best and best[0][0] <= min(3, len(w) // 2) and (len(best) == 1 or best[0][0] < best[1][0])
+            best = (self.wide_phrases if self._near(w) else self.wide).within(w, min(3, len(w) // 2))
+            ok = best and (len(best) == 1 or best[0][0] < best[1][0])
             out.append(best[0][1] if ok and w not in self.known and (not self._near(w) or best[0][0] <= 2) else w)
         return out
 
@@ -203,7 +227,8 @@ class Matcher:
         if word not in self.near:
             if len(self.near) > _CACHE:
                 self.near.clear()
-            close = {b: c for b in self.words if (c := likeness(word, b)) is not None}
+            alike = {*self.close.candidates(word), *(self.stems[word[:4]] if len(word) >= 4 and word[:4] in self.stems else ()), *((word,) if word in self.words_set else ())}
+            close = {b: c for b in sorted(alike) if (c := likeness(word, b)) is not None}
             self.near[word] = close
         return self.near[word]
 
@@ -214,33 +239,38 @@ class Matcher:
         parts: list[tuple[str, dict[str, float]]] = []
         for w, c in close:
             if not c and len(w) >= 8:
-                for j, two in self.joined.items():
-                    if abs(len(j) - len(w)) <= 2 and (d := edits(w, j, 2)) <= 2:
-                        parts += [(f"{w}/{x}", {x: 0.5 * d}) for x in two.split()]
+                for d, j in self.close_joined.within(w, 2):
+                    parts += [(f"{w}/{x}", {x: 0.5 * d}) for x in self.joined[j].split()]
         close = close + parts + [(w, {b: x + 0.3 for b, x in c.items()}) for w, c in joins if c]
+        options: dict[str, list[tuple[float, int]]] = defaultdict(list)
+        for k, (_, c) in enumerate(close):
+            for x, cost in c.items():
+                options[x].append((cost, k))
+        for x in options.values():
+            x.sort()
         best: tuple[float, int] | None = None
-        for i, entry in self.sets:
+        for at in sorted({at for x in options for at in self.by_rarest.get(x, ())}):
+            i, entry = self.sets[at]
             cost, used = 0.0, set()
             for x in entry:
-                options = [(c[x], k) for k, (_, c) in enumerate(close) if x in c and k not in used]
-                if not options:
+                free = next((o for o in options.get(x, ()) if o[1] not in used), None)
+                if free is None:
                     break
-                c, k = min(options)
-                used.add(k)
-                cost += c
+                used.add(free[1])
+                cost += free[0]
             else:
                 if cost <= 1.0 * len(entry) and (best is None or cost < best[0]):
                     best = (cost, i)
         return (best[1], "similar") if best else (0, "none")
 
 
-def build_matchers(entries: list[tuple[str, int, str]], phrases: dict[str, str] | None = None) -> dict[str, Matcher]:
-    """A matcher for each domain from (domain, id, name)."""
+def build_matchers(entries: list[tuple[str, int, str]], phrases: dict[str, str], short: dict[str, str]) -> dict[str, Matcher]:
+    """A matcher for each domain from (domain, id, name), phrases and words written short."""
     by: dict[str, list] = defaultdict(list)
     for domain, i, name in entries:
         by[domain].append((i, name))
     words = frozenset(w for _, _, name in entries for w in normal(name).split())
-    return {d: Matcher(e, phrases or PHRASES, others=words) for d, e in by.items()}
+    return {d: Matcher(e, phrases, short, words) for d, e in by.items()}
 
 
 #: Spellings of domains that aren't close to their names. Fixed values.
@@ -262,20 +292,25 @@ def find_domain(text: str | None, known: dict[str, str]) -> str | None:
     return None
 
 
-def map_values(df: DataFrame, id_col: str, domain_col: str, value_col: str, vocabulary: DataFrame, phrases: dict[str, str] | None = None) -> DataFrame:
+def map_values(df: DataFrame, id_col: str, domain_col: str, value_col: str, vocabulary: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """id_col, vocab_id, how for each row whose value is neither null nor blank nor unclassified: vocab_id is 0 when no entry of the domain is
     meant or the domain isn't known. how is exact, mention, parts, similar, none or no_domain.
 
-    vocabulary has topic_domain, topic, vocab_id, seed_rank; of equal names the first by rank and id counts. It must have at most MAX_ENTRIES
-    rows, else this raises. Repeated rows are mapped each.
+    vocabulary has topic_domain, topic, vocab_id, seed_rank; of equal names the first by rank and id counts. aliases has alias, meaning, kind: kind
+    word for a word written short, phrase for words that mean others. Each must have at most MAX_ENTRIES rows, else this raises. Repeated rows are mapped each.
     """
     rows = vocabulary.select("topic_domain", "vocab_id", "topic", "seed_rank").where("topic_domain is not null and topic is not null").limit(MAX_ENTRIES + 1).collect()
     if len(rows) > MAX_ENTRIES:
         raise ValueError(f"the canonical list has more than {MAX_ENTRIES} entries")
     entries = [(r.topic_domain, r.vocab_id, r.topic) for r in sorted(rows, key=lambda r: (r.topic_domain, r.seed_rank if r.seed_rank is not None else 1 << 30, r.vocab_id))]
 
+    told = [] if aliases is None else aliases.select("alias", "meaning", "kind").where("alias is not null and meaning is not null").limit(MAX_ENTRIES + 1).collect()
+    if len(told) > MAX_ENTRIES:
+        raise ValueError(f"more than {MAX_ENTRIES} aliases")
+    phrases, short = ({r.alias: r.meaning for r in told if (r.kind == "word") == word} for word in (False, True))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matchers = build_matchers(entries, phrases)
+        matchers = build_matchers(entries, phrases, short)
         known = {domain_key(d): d for d in matchers}
         domains: dict = {}
         seen: dict = {}

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import table
+from .aliases import alias_table
 from .canonical import map_values
 
 
 def p6_mapped(spark: SparkSession, d: str) -> DataFrame:
-    return map_values(table(spark, d, "tagged_posts_v2_clean"), "idx", "topic_broad", "topic", table(spark, d, "vocabulary"))
+    return map_values(table(spark, d, "tagged_posts_v2_clean"), "idx", "topic_broad", "topic", table(spark, d, "vocabulary"), alias_table(spark))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

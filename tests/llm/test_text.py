@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postloom.llm import bloom as B, personal as P
-from postloom.llm.canonical import edits, map_values
+from postloom.llm.canonical import Near, edits, map_values
 from postloom.llm.language import codewords, find_segments, label_code, seed_samples, sentences, train, wrong_labels
 from postloom.llm.personal import Lexicon, author_parts, find_personal, letter23, luhn, mod97, name_lexicon, redacted, spans
 from postloom.llm.residue import build_automaton, find_residue, judge
@@ -114,6 +114,25 @@ def test_canonical(spark):
     assert map_values(df.limit(0), "idx", "topic_broad", "topic", vocab).count() == 0
 
 
+def test_near_loses_no_word():
+    rng = random.Random(6)
+    words = sorted({"".join(rng.choice("abcd") for _ in range(rng.randrange(1, 13))) for _ in range(300)})
+    for most in (1, 2, 3):
+        near = Near(words, most)
+        for w in ("".join(rng.choice("abcd") for _ in range(rng.randrange(1, 13))) for _ in range(60)):
+            assert near.within(w, most) == sorted((d, x) for x in words if (d := edits(w, x, most)) <= most)
+
+
+def test_aliases_are_a_table(spark):
+    vocab = spark.createDataFrame([(1, "AI", "prompt caching cost control", 1), (2, "AI", "prompt caching failure analysis", 2)], "vocab_id bigint, topic_domain string, topic string, seed_rank int")
+    df = spark.createDataFrame([(1, "AI", "prompt caching: why it breaks"), (2, "AI", "pc cost control")], "idx bigint, topic_broad string, topic string")
+    aliases = spark.createDataFrame([("why it breaks", "failure analysis", "phrase"), ("pc", "prompt caching", "word"), (None, "x", "word")], "alias string, meaning string, kind string")
+    assert {r.idx: r.vocab_id for r in map_values(df, "idx", "topic_broad", "topic", vocab, aliases).collect()} == {1: 2, 2: 1}
+    assert {r.idx: r.vocab_id for r in map_values(df, "idx", "topic_broad", "topic", vocab).collect()} == {1: 0, 2: 0}
+    long = spark.createDataFrame([(1, "AI", "prompt caching " * 20_000 + "cost control")], df.schema)
+    assert map_values(long, "idx", "topic_broad", "topic", vocab).first().vocab_id == 1
+
+
 def test_language_model():
     samples = seed_samples()
     held = samples[::7]
