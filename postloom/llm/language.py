@@ -30,6 +30,11 @@ WIDE_SLACK = 20.0
 #: Labelled rows from which the model is refined, and sentences of one language among them.
 SAMPLE_ROWS = 20_000
 SAMPLE_PER_LANGUAGE = 3000
+#: Sentences of one labelled row that may serve, and code points of a sentence; so the sample is bounded whatever the texts are.
+SAMPLE_PER_ROW = 30
+SAMPLE_LENGTH = 600
+#: Codes of ISO 639 for text without prose and for prose of no language that is known.
+NO_PROSE, UNDETERMINED = "zxx", "und"
 
 #: Names of languages in labels, beside their ISO 639-1 codes. Fixed values.
 NAMES = {
@@ -62,36 +67,50 @@ _CODE_LINE = re.compile(r"^\s*(?:Traceback \(most|File \"|[\w.]*Error: |(?:selec
 _CODE_MARKS = (" | ", ");", "Traceback", "Error:", " = ", "(*)", "&&", "File \"", "';", " -n ")
 _WIDE = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
 _KEYS = frozenset("asdf asdfasdf asdfgh qwerty qwer asd sdf dfg xxx xxxx blah foo bar baz lorem ipsum undefined null nan none nil object likes comments shares".split())
+_BLANKS = re.compile(r" {2,}")
 _CAPITAL = re.compile(r"[A-ZÀ-ÞА-Я\d]")
 _NO_PROSE = LOREM | _KEYS
 _FILLER = _NO_PROSE - frozenset("in do sit id est ad et ut sed non a qui sunt ex ea nisi anim".split())
 _STATE: dict[str, np.ndarray] = {}
 
 
-def sentences(text: str | None, least: int = 3) -> list[str]:
-    """The sentences of prose in a text: without code, links, addresses, tags and placeholders; of at least so many words (or twice as many
-    wide characters), not mostly names or filler in no language. None for null and blank texts."""
+def _blanked(m: re.Match) -> str:
+    return " " * len(m[0])
+
+
+def _broken(m: re.Match) -> str:
+    return "\n" + " " * (len(m[0]) - 1)
+
+
+def sentence_spans(text: str | None, least: int = 3) -> list[tuple[str, int, int]]:
+    """(sentence, start, end) of the sentences of prose in a text: without code, links, addresses, tags and placeholders, which are blanks in the
+    sentence; of at least so many words (or twice as many wide characters), not mostly names or filler in no language. None for null and blank texts."""
     if not text or not text.strip():
         return []
     t = text
     if "`" in t:
-        t = _CODE.sub("\n", t)
+        t = _CODE.sub(_broken, t)
     if _LIKELY.search(t):
-        t = _PLACEHOLDER.sub(" ", t)
+        t = _PLACEHOLDER.sub(_blanked, t)
     if "@" in t or "#" in t or "<" in t or "r/" in t or "://" in t or "www." in t:
-        t = _NOT_TEXT.sub(" ", t)
+        t = _NOT_TEXT.sub(_blanked, t)
     if any(k in t for k in _CODE_MARKS):
-        t = _CODE_LINE.sub("\n", t)
+        t = _CODE_LINE.sub(_broken, t)
     out = []
-    for s in _SENTENCE.split(t):
+    changed = t is not text
+    start = 0
+    for stop, then in [*(m.span() for m in _SENTENCE.finditer(t)), (len(t), len(t))]:
+        s, at, start = t[start:stop], start, then
         words = s.split()
+        if changed:
+            s = _BLANKS.sub(" ", s)
         if not s.isascii() and len(s) > least and len(_WIDE.findall(s)) >= 2 * least:
-            out.append(s)
+            out.append((s, at, stop))
             continue
         if len(words) < least:
             continue
         if len(words) > 5 and (s.isascii() or s.lower() != s.upper()) and len(_CAPITAL.findall(s)) <= 0.4 * len(words) and _FILLER.isdisjoint(words):
-            out.append(s)
+            out.append((s, at, stop))
             continue
         heads = "".join([w[0] if len(w) == 1 or w[0].isalpha() else w[1] for w in words])
         letters = sum(map(str.isalpha, heads))
@@ -101,10 +120,15 @@ def sentences(text: str | None, least: int = 3) -> list[str]:
             low = s.lower().split()
             if sum(w.strip(".,;:!?-") in _NO_PROSE for w in low) >= 0.6 * len(low):
                 continue
-        out.append(s)
+        out.append((s, at, stop))
     return out
 
 
+def sentences(text: str | None, least: int = 3) -> list[str]:
+    """The sentences alone."""
+    return [s for s, _, _ in sentence_spans(text, least)]
+
+
 def _table() -> np.ndarray:
     """For each character of the basic plane its lower case, a blank for what is no letter; line breaks stay."""
     if "table" not in _STATE:
@@ -224,12 +248,28 @@ def fit(df: DataFrame, text_col: str, lang_col: str, rows: int = SAMPLE_ROWS, pe
     """The model of the seeds, refined by a sample of at most `rows` labelled rows (those of the smallest hash of the text, so that the
     sample is the same in any order of the rows)."""
     first = train(seed_samples())
-    texts = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(text_col).alias("t"), F.col(lang_col).alias("l"), F.xxhash64(text_col, F.lit(1)).alias("h"))
-    # English is most of any sample: rows of other labels come first
-    by_label = texts.withColumn("other", ~F.lower("l").startswith("en"))
-    sample = by_label.orderBy(F.desc("other"), "h").limit(rows // 2).unionByName(by_label.where("not other").orderBy("h").limit(rows // 10)).select("t", "l").collect()
+    labelled = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(text_col).alias("t"), F.col(lang_col).alias("l"), F.xxhash64(text_col, F.lit(1)).alias("h"))
+    # the spellings of the most frequent label: it fills most of any sample, so rows of other labels come first
+    spellings = labelled.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(1000).collect()
+    by_code: Counter = Counter()
+    for r in spellings:
+        by_code[label_code(r.l)] += r.n
+    del by_code[None]
+    if not by_code:
+        return first
+    usual = [r.l for r in spellings if label_code(r.l) == by_code.most_common(1)[0][0]]
+    by_label = labelled.withColumn("other", ~F.col("l").isin(usual))
+    sample = by_label.orderBy(F.desc("other"), "h").limit(rows // 2).unionByName(by_label.where("not other").orderBy("h").limit(rows // 10))
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [(h, code, k, s) for t, label, h in zip(batch["t"], batch["l"], batch["h"]) if (code := label_code(label)) for k, s in enumerate(sentences(t)[:SAMPLE_PER_ROW]) if len(s) <= SAMPLE_LENGTH]
+            if out:
+                yield pd.DataFrame(out, columns=["h", "code", "k", "s"])
+
     known = set(first.languages)
-    pairs = [(code, s) for r in sample if (code := label_code(r.l)) in known for s in sentences(r.t)]
+    parts = sample.select("t", "l", "h").mapInPandas(split, "h bigint, code string, k int, s string").collect()
+    pairs = [(r.code, r.s) for r in sorted(parts, key=lambda r: (r.code, r.h, r.k)) if r.code in known]
     if not pairs:
         return first
     seeds = seed_samples()
@@ -258,12 +298,15 @@ def decode(model: Model, loss: np.ndarray, near: float = 10.0, temperature: floa
     return best, 1 / p.sum(axis=1), two[:, 1] - two[:, 0] < near
 
 
-def _segments(model: Model, texts: list[str | None]) -> Iterator[tuple[int, int, str, float, bool, int, int]]:
-    """(row, segment, language, confidence, ambiguous, sentences, words) of a batch of texts; neighbours of one language are one segment."""
-    rows, flat = [], []
+def _segments(model: Model, texts: list[str | None]) -> Iterator[tuple[int, int, str, float, bool, int, int, int, int]]:
+    """(row, segment, language, confidence, ambiguous, sentences, words, start, end) of a batch of texts; neighbours of one language are one segment."""
+    rows, flat, where = [], [], []
     for k, t in enumerate(texts):
-        own = sentences(t) or sentences(t, 2)
-        flat += own
+        own = sentence_spans(t) or sentence_spans(t, 2)
+        if not own:
+            yield k, 0, NO_PROSE, 1.0, False, 0, 0, 0, len(t or "")
+        flat += [s for s, _, _ in own]
+        where += [(a, b) for _, a, b in own]
         rows += [k] * len(own)
     if not flat:
         return
@@ -277,10 +320,12 @@ def _segments(model: Model, texts: list[str | None]) -> Iterator[tuple[int, int,
             end += 1
         row, own = rows[start], range(start, end)
         if len(set(best[start:end])) == 1 and not any(doubtful[start:end]):  # the usual case
-            yield row, 0, names[best[start]], sum(sure[start:end]) / len(own), False, len(own), sum([len(s.split()) for s in flat[start:end]])
+            yield row, 0, names[best[start]], sum(sure[start:end]) / len(own), False, len(own), sum([len(s.split()) for s in flat[start:end]]), where[start][0], where[end - 1][1]
             continue
         if max(sure[start:end]) < 0.45 and all(doubtful[start:end]) and sum([len(s.split()) for s in flat[start:end]]) < 8:
-            continue  # a few words that no language claims aren't prose
+            # a few words that no language claims
+            yield row, 0, UNDETERMINED, max(sure[start:end]), True, len(own), sum([len(s.split()) for s in flat[start:end]]), where[start][0], where[end - 1][1]
+            continue
         total: Counter = Counter()
         for i in own:
             total[best[i]] += len(flat[i]) * sure[i]
@@ -301,13 +346,14 @@ def _segments(model: Model, texts: list[str | None]) -> Iterator[tuple[int, int,
             while to < len(own) and langs[to][0] == langs[at][0]:
                 to += 1
             part = range(start + at, start + to)
-            yield row, k, names[langs[at][0]], sum(c for _, c in langs[at:to]) / (to - at), all(doubtful[x] for x in part), to - at, sum(len(flat[x].split()) for x in part)
+            yield row, k, names[langs[at][0]], sum(c for _, c in langs[at:to]) / (to - at), all(doubtful[x] for x in part), to - at, sum(len(flat[x].split()) for x in part), where[start + at][0], where[start + to - 1][1]
             k, at = k + 1, to
 
 
 def find_segments(df: DataFrame, id_col: str, text_col: str, lang_col: str, model: Model | None = None) -> DataFrame:
-    """id_col, label (code of lang_col, null if missing or unknown), segment, lang_code, confidence, ambiguous, sentences, words: the stretches
-    of prose of each text with their language. Texts without prose have no rows. Repeated rows are judged each; whole texts are read.
+    """id_col, label (code of lang_col, null if missing or unknown), segment, lang_code, confidence, ambiguous, sentences, words, start, end: the
+    stretches of prose of each text with their language and their place in it, in code points. A text without prose, also a null or blank one, has one row with the code NO_PROSE; a few words
+    that no language claims have UNDETERMINED. Repeated rows are judged each; whole texts are read.
     """
     shipped = df.sparkSession.sparkContext.broadcast(model or fit(df, text_col, lang_col))  # DIM x BITS floats: 6 MB at any size of the corpus
     lean = df.select(F.col(id_col), F.col(text_col), F.col(lang_col))
@@ -318,13 +364,13 @@ def find_segments(df: DataFrame, id_col: str, text_col: str, lang_col: str, mode
             ids, labels = batch.iloc[:, 0].tolist(), [label_code(x) for x in batch.iloc[:, 2]]
             out = [(ids[k], labels[k], *rest) for k, *rest in _segments(model, batch.iloc[:, 1].tolist())]
             if out:
-                yield pd.DataFrame(out, columns=[id_col, "label", "segment", "lang_code", "confidence", "ambiguous", "sentences", "words"])
+                yield pd.DataFrame(out, columns=[id_col, "label", "segment", "lang_code", "confidence", "ambiguous", "sentences", "words", "start", "end"])
 
-    return lean.mapInPandas(run, f"`{id_col}` {dict(lean.dtypes)[id_col]}, label string, segment int, lang_code string, confidence double, ambiguous boolean, sentences int, words int")
+    return lean.mapInPandas(run, f"`{id_col}` {dict(lean.dtypes)[id_col]}, label string, segment int, lang_code string, confidence double, ambiguous boolean, sentences int, words int, start int, end int")
 
 
 def wrong_labels(segments: DataFrame, id_col: str) -> DataFrame:
     """id_col, lang_code: the languages of each document whose label is missing, unknown, not among them, or but one of several.
-    A document's segments come from one task, so they are compared by a window over its id."""
-    langs = segments.groupBy(id_col, "label").agg(F.collect_set("lang_code").alias("langs"))  # no more than there are languages
+    They are grouped by id and label; a document has no more languages than the model."""
+    langs = segments.where(~F.col("lang_code").isin(NO_PROSE, UNDETERMINED)).groupBy(id_col, "label").agg(F.collect_set("lang_code").alias("langs"))  # no more than there are languages
     return langs.where(~((F.size("langs") == 1) & F.coalesce(F.col("label") == F.col("langs")[0], F.lit(False)))).select(id_col, F.explode("langs").alias("lang_code"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from postloom.llm import bloom as B, personal as P
 from postloom.llm.canonical import Near, edits, map_values
-from postloom.llm.language import codewords, find_segments, label_code, seed_samples, sentences, train, wrong_labels
+from postloom.llm.language import codewords, fit, find_segments, label_code, seed_samples, sentences, train, wrong_labels
 from postloom.llm.personal import Lexicon, author_parts, find_personal, letter23, luhn, mod97, name_lexicon, redacted, spans
 from postloom.llm.residue import build_automaton, find_residue, judge
 from postloom.llm.truncation import ending, find_truncated, truncation_rates
@@ -153,6 +153,24 @@ def test_segments(spark):
     assert label_code("pt-BR") == "pt" and label_code("?? ") is None and label_code("Russian") == "ru" and sentences("a " * 100_000)[:1]
 
 
+def test_segments_have_their_place(spark):
+    de, en = "Wir haben das System nach langem Zögern umgestellt und sparen jetzt Zeit.", "We keep a list of open questions about it on one page and read it often."
+    text = f"#tag {en} `code here` {de} See https://a.example/x for the rest of the story we told."
+    df = spark.createDataFrame([(1, text, "en"), (2, None, None), (3, " ", "en"), (4, "https://a.example", None), (5, "Zxq vrrk blorf", None)], "idx bigint, post_text string, lang string")
+    rows = find_segments(df, "idx", "post_text", "lang", train(seed_samples())).orderBy("idx", "segment").collect()
+    parts = {(r.idx, r.segment): (r.lang_code, text[r.start : r.end].strip()) for r in rows if r.idx == 1}
+    assert parts[1, 0][0] == "en" and en in parts[1, 0][1] and parts[1, 1][0] == "de" and de in parts[1, 1][1]
+    assert {r.idx: r.lang_code for r in rows if r.idx in (2, 3, 4)} == {2: "zxx", 3: "zxx", 4: "zxx"} and [r.ambiguous for r in rows if r.idx == 5] == [True]
+
+
+def test_sample_of_any_usual_language(spark):
+    de = "Wir haben das System nach langem Zögern umgestellt und sparen jetzt Zeit."
+    df = spark.createDataFrame([(f"{de} {k}. " * 40, x) for k in range(20) for x in ("de", "German")] + [("We keep a list of open questions.", "en"), ("x", "??")], "post_text string, lang string")
+    model = fit(df, "post_text", "lang")
+    assert model.languages[model.losses([de]).argmin()] == "de"
+    assert fit(df.limit(0), "post_text", "lang").languages == model.languages
+
+
 def test_truncation(spark):
     whole = "The team moved the glossary to another quarter. Everything about the model is on one page. It was simple: measure first, then decide."
     rows = [(i, whole, "a") for i in range(20)] + [(50, whole + " The team moved the glos", "a"), (51, whole[:-1], "a"), (52, whole + " Everything about the", None), (53, whole + " The team […]", "b"), (54, None, "b"), (55, " ", "b"), (56, whole + "\n#tag", "b"), (57, "Caf�", "b"), (50, whole + " The team moved the glos", "a")]
