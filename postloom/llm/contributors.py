@@ -1,8 +1,9 @@
 """Capping the records of each contributor, keeping the best.
 
 Mergeable bounded heaps: the aggregate collect_top_k of Spark keeps, per contributor, a heap of the cap's best (score, id) pairs. It is
-filled map-side, merged over salts of a hot contributor, then over the whole. Contributors at or below the cap lose nothing and leave
-the plan there; of the others only the worst pair kept is needed, against which the full records are semi-joined.
+filled map-side, merged over groups of tasks, then over the whole, so that no merge gets more than the cap's pairs of about a thousand others. Contributors
+at or below the cap lose nothing and leave the plan there; of the others only the worst pair kept is needed, against which the full records
+are compared, those of hot contributors over as many salts as their number asks for.
 """
 
 from __future__ import annotations
@@ -10,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.internal import InternalFunction
 
-#: Salts over which one contributor's heaps and records are spread.
-SALTS = 16
+from .salted import HOT, lookup
+
+#: Groups of tasks whose heaps are merged first: a thousand tasks to a group for a million tasks.
+GROUPS = 1024
 
 
 def contributor(c: Column) -> Column:
@@ -28,14 +31,13 @@ def plain_score(c: Column) -> Column:
 
 
 def _cuts(df: DataFrame, cap: int) -> DataFrame:
-    """who, score, id of the worst pair kept, of each contributor with more records than the cap."""
+    """who, n, cut: the number of records and the worst pair kept, of each contributor with more records than the cap."""
     pair = F.struct("score", F.negative("id").alias("low"))
     # collect_top_k gives the k largest; its buffer is a heap of at most k pairs
-    part = df.groupBy("who", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt")).agg(InternalFunction.collect_top_k(pair, cap, False).alias("best"), F.count("*").alias("n"))
-    merged = part.select("who", "n", F.explode("best").alias("pair"), F.monotonically_increasing_id().alias("part"))
-    total = part.groupBy("who").agg(F.sum("n").alias("n")).where(F.col("n") > cap)
-    top = merged.groupBy("who").agg(InternalFunction.collect_top_k(F.col("pair"), cap, False).alias("best"))
-    return top.join(total.select("who"), "who").select("who", F.element_at(F.sort_array("best"), 1).alias("cut"))
+    part = df.groupBy("who", F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("g")).agg(InternalFunction.collect_top_k(pair, cap, False).alias("best"), F.count("*").alias("n"))
+    each = part.select("who", F.posexplode("best").alias("k", "pair"), F.col("n"))
+    top = each.groupBy("who").agg(InternalFunction.collect_top_k(F.col("pair"), cap, False).alias("best"), F.sum(F.when(F.col("k") == 0, F.col("n"))).alias("n"))
+    return top.where(F.col("n") > cap).select("who", "n", F.element_at(F.sort_array("best"), 1).alias("cut"))
 
 
 def cap_records(df: DataFrame, id_col: str, who: Column, score: Column, cap: int, keep: bool = True) -> DataFrame:
@@ -43,12 +45,13 @@ def cap_records(df: DataFrame, id_col: str, who: Column, score: Column, cap: int
     of the smaller id. id_col is unique. Records whose contributor is null are all kept. Columns of df pass through under any name."""
     if cap < 1:
         raise ValueError("cap must be at least 1")
-    lean = df.select(who.alias("who"), score.alias("score"), F.col(id_col).cast("bigint").alias("id")).where("who is not null")
-    cuts = _cuts(lean, cap).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).select("who", F.col("salt").cast("bigint").alias("salt"), "cut")
-    cuts = cuts.select(F.col("who").alias("_cut_who"), F.col("salt").alias("_cut_salt"), F.col("cut").alias("_cut"))
-    mine = F.struct(score.alias("score"), F.negative(F.col(id_col).cast("bigint")).alias("low"))
-    on = (who == F.col("_cut_who")) & (F.pmod(F.xxhash64(F.col(id_col).cast("bigint")), F.lit(SALTS)) == F.col("_cut_salt")) & (mine < F.col("_cut"))
-    return df.join(cuts, on, "left_anti" if keep else "left_semi")
+    number = F.col(id_col).cast("bigint")
+    lean = df.select(who.alias("who"), score.alias("score"), number.alias("id")).where("who is not null")
+    rows = df.select(who.alias("who"), F.struct(score.alias("score"), F.negative(number).alias("low")).alias("mine"), number.alias("id"), F.struct("*").alias("row"))
+    if not keep:
+        rows = rows.where("who is not null")
+    j = lookup(rows, _cuts(lean, cap), ["who"], "n", HOT, "left" if keep else "inner", by="id")
+    return j.where((F.col("cut").isNull() | (F.col("mine") >= F.col("cut"))) if keep else F.col("mine") < F.col("cut")).select("row.*")
 
 
 def largest_contributors(df: DataFrame, who: Column, top: int = 20) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from postloom.llm import components as C
+from postloom.llm import components as C, contributors as K
 from postloom.llm.components import hash_to_min, match_groups
 from postloom.llm.contributors import cap_records, contributor, largest_contributors, plain_score
 
@@ -41,7 +41,9 @@ def test_match_groups(spark):
     assert match_groups(df.limit(0)).count() == 0
 
 
-def test_cap(spark):
+@pytest.mark.parametrize("hot", [K.HOT, 9])
+def test_cap(spark, monkeypatch, hot):
+    monkeypatch.setattr(K, "HOT", hot)
     rng = random.Random(2)
     rows = [(i, rng.choice([" A", "a ", "b", "c", None, "", "Unknown "]), rng.choice(["0.5", "1", "0", "1.5", "x", None, ".5", "0.9 "])) for i in range(400)]
     df = spark.createDataFrame(rows, "idx bigint, profile_id string, label_useful string").withColumns({"who": F.lit(1), "score": F.lit(1), "salt": F.lit(1)})
