@@ -14,6 +14,7 @@ import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import written
 from . import bloom
 
 THRESHOLD = 0.5
@@ -270,7 +271,7 @@ def name_lexicon(df: DataFrame, name_col: str, least: int = 1) -> bytes:
             yield pd.DataFrame(list(found.items()), columns=["k", "n"])
 
     names = df.select(F.translate(name_col, "’", "'").alias("name")).mapInPandas(parts, "k string, n bigint").groupBy("k").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return bloom.build(names.select("k"), strict=True, per_key=24)
+    return bloom.build(written(names.select("k")), strict=True, per_key=24)  # read twice, worked out once
 
 
 def _name_spans(text: str, lexicon: Lexicon, titled: bool) -> Iterator[tuple[int, int, str, float]]:
