@@ -110,3 +110,33 @@ def statistics(posts: DataFrame) -> DataFrame:
     )
     less = F.least("li_posts", "rd_posts")
     return g.where(less > 0).withColumns({"clears_10_per_side": less >= 10, "severely_imbalanced": (F.col("li_posts") + F.col("rd_posts") >= 42) & (less < 10)})
+
+
+SHARED = ("sentiment", "post_type", "stance")
+
+
+def shares(posts: DataFrame, columns: tuple[str, ...] = SHARED) -> DataFrame:
+    """audience, group_label, side (li, rd or all), column_name, value, posts, pct: how the posts of each both-sided cell and side are spread over
+    the values of some columns."""
+    rows = posts.select("audience", "group_label", "side", F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), text_or_empty(c).alias("value")) for c in columns))).alias("x"))
+    one = rows.groupBy("audience", "group_label", "side", "x.column_name", "x.value").agg(F.count("*").alias("posts"))
+    both = one.select("audience", "group_label", F.explode(F.array("side", F.lit("all"))).alias("side"), "column_name", "value", "posts").groupBy("audience", "group_label", "side", "column_name", "value").agg(F.sum("posts").alias("posts"))
+    keys = ["audience", "group_label", "side", "column_name"]
+    sums = both.groupBy(*keys).agg(F.sum("posts").alias("total"))
+    cells = one.groupBy("audience", "group_label").agg(F.countDistinct("side").alias("sides")).where("sides = 2").select("audience", "group_label")
+    return both.join(cells, ["audience", "group_label"], "left_semi").join(sums, keys).select(*keys, "value", "posts", one_decimal(100.0 * F.col("posts") / F.col("total")).alias("pct"))
+
+
+def simulated_viability(posts: DataFrame, classes: DataFrame, enough: int = 30, near: int = 10) -> DataFrame:
+    """audience, domain, li_posts, rd_posts, viable, near_viable, shown: of each audience and domain the posts (domain, label, audience, side), and how
+    many labels have enough posts on both sides, or nearly so, when synonyms are collapsed and noise is dropped by classes (label_classes()).
+    shown: enough posts on both sides for the count to say something."""
+    counts = posts.groupBy("audience", "domain", "label").agg(*(F.count_if(F.col("side") == s).alias(s) for s in ("li", "rd")))
+    j = counts.join(classes, ["domain", "label"], "left")
+    noise = F.coalesce(F.col("class"), F.lit("")) == "noise"
+    merged = j.groupBy("audience", "domain", F.when(~noise, F.coalesce("match", "label")).alias("label")).agg(*(F.sum(s).alias(s) for s in ("li", "rd")))
+    ok = (F.col("li") >= enough) & (F.col("rd") >= enough) & F.col("label").isNotNull()
+    almost = ((F.col("li") >= near) | (F.col("rd") >= near)) & ~ok & F.col("label").isNotNull()
+    g = merged.groupBy("audience", "domain").agg(F.sum("li").alias("li_posts"), F.sum("rd").alias("rd_posts"), F.count_if(ok).alias("viable"), F.count_if(almost).alias("near_viable"))
+    skipped = (F.col("li_posts") < 30) | (F.col("rd_posts") < 10) | (F.col("li_posts") < 50) & (F.col("rd_posts") < 20)
+    return g.withColumn("shown", ~skipped)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
@@ -24,6 +25,16 @@ def batches(posts: DataFrame, size: int = 20, seed: int = 42) -> DataFrame:
     return posts.select("idx").crossJoin(F.broadcast(n)).select("idx", F.pmod(F.xxhash64("idx", F.lit(seed)), F.greatest(F.ceil(F.col("_n") / size), F.lit(1))).alias("batch"))  # one row of totals
 
 
+def batches_exact(posts: DataFrame, size: int = 20, seed: int = 42, parts: int = 4096) -> DataFrame:
+    """idx, batch: posts in a fixed pseudorandom order, exactly `size` to a batch, the last aside. Ranks come in two steps, within parts of the hash
+    and over the parts' sums, so that no task sorts all rows. idx is unique."""
+    h = posts.select("idx", F.xxhash64("idx", F.lit(seed)).alias("h")).withColumn("part", F.pmod(F.shiftright("h", 40), F.lit(parts)))
+    sums = h.groupBy("part").agg(F.count("*").alias("n"))
+    before = sums.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))  # `parts` rows
+    within = F.row_number().over(Window.partitionBy("part").orderBy("h", "idx"))
+    return h.withColumn("r", within).join(F.broadcast(before), "part").select("idx", F.floor((F.col("before") + F.col("r") - 1) / size).alias("batch"))
+
+
 def read_answer(text: str) -> list[dict]:
     """The objects of a model's answer; raises ValueError if there are none."""
     t = text.strip()
@@ -38,15 +49,20 @@ def read_answer(text: str) -> list[dict]:
     return found
 
 
-def ask(model: Model, posts: list[dict], tries: int = 3, pause: float = 2.0) -> list[dict]:
-    """The answer's objects, tried again after growing pauses; none if all tries fail."""
+def attempts(call: Callable[[], Any], tries: int = 3, pause: float = 2.0) -> Any:
+    """What the call gives, tried again after growing pauses; None if all tries fail."""
     for k in range(tries):
         try:
-            return read_answer(model(posts))
+            return call()
         except Exception:  # noqa: BLE001 any failure of a model counts as a try
             if k + 1 < tries:
                 time.sleep(pause * 2**k)
-    return []
+    return None
+
+
+def ask(model: Model, posts: list[dict], tries: int = 3, pause: float = 2.0) -> list[dict]:
+    """The answer's objects; none if all tries fail."""
+    return attempts(lambda: read_answer(model(posts)), tries, pause) or []
 
 
 def label(posts: DataFrame, model: Model, done: DataFrame | None = None, size: int = 20, tries: int = 3, pause: float = 2.0, max_chars: int | None = None) -> DataFrame:
@@ -95,7 +111,8 @@ def last_of_each(progress: DataFrame, order: str) -> DataFrame:
 
 
 def rule_model(keywords: dict[str, str]) -> Model:
-    """A model of rules: the domain of the first keyword in the text, the sentiment of a few words, question or opinion by its mark."""
+    """A stand-in for tests and queries, which shows the runner and judges nothing: the domain of the first keyword in the text, the sentiment of
+    a few words, question or opinion by its mark. For real labels give a model, as http_model()."""
 
     def model(posts: list[dict]) -> str:
         out = []

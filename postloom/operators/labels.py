@@ -84,3 +84,40 @@ def frequency_buckets(df: DataFrame, keys: list[Column], starts: tuple[int, ...]
     """bucket, labels, posts: how many labels occur how often, and how many posts they cover."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
     return counts.groupBy(bucket(F.col("n"), starts).alias("bucket")).agg(F.count("*").alias("labels"), F.sum("n").alias("posts"))
+
+
+def title(c: Column) -> Column:
+    """Each run of letters with its first in upper and the others in lower case, as in ai-x: Ai-X."""
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(r"[\p{L}]+|[^\p{L}]+"), 0), F.initcap), "")
+
+
+def repaired_case(c: Column | str) -> Column:
+    """A domain's name in its own spelling whatever its case; other names in title case."""
+    t = strip(text_or_empty(c))
+    return _mapped(F.lower(t), {d.lower(): d for d in DOMAINS}, title(t))
+
+
+#: The columns with a vocabulary, for value_counts_marked().
+VOCABULARIES = {"topic_broad": DOMAINS, "sentiment": SENTIMENTS, "stance": STANCES, "post_type": POST_TYPES}
+
+
+def value_counts_marked(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """As value_counts(), with a marker: valid or invalid, or open where the column has no vocabulary."""
+    marker = F.lit("open")
+    for c, v in {**VOCABULARIES, "platform": PLATFORMS}.items():
+        known = (F.lower("value") if c == "platform" else F.col("value")).isin(*v)
+        marker = F.when(F.col("column_name") == c, F.when(known, "valid").otherwise("invalid")).otherwise(marker)
+    return value_counts(df, columns).withColumn("marker", marker)
+
+
+def column_audit(df: DataFrame, parts: tuple[str, ...] = ("profile", "user", "author")) -> DataFrame:
+    """column_name, filled, rows, names_person of every column: how many rows have more than white space in it, and whether its name has one of the
+    parts. One pass, whatever the number of columns."""
+    counts = df.agg(F.count("*").alias("_rows"), *(F.count_if(F.length(strip(F.coalesce(F.col(c).cast("string"), F.lit("")))) > 0).alias(c) for c in df.columns))
+    one = lambda c: F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled"), F.col("_rows").alias("rows"), F.lit(any(p in c.lower() for p in parts)).alias("names_person"))
+    return counts.select(F.explode(F.array(*map(one, df.columns))).alias("x")).select("x.*")
+
+
+def first_id(df: DataFrame, columns: tuple[str, ...] = ("profile_id", "profile_uuid", "user_id")) -> Column:
+    """The first of the columns that df has and that isn't empty, without white space at its ends; empty where there is none."""
+    return strip(F.coalesce(*(F.nullif(F.col(c).cast("string"), F.lit("")) for c in columns if c in df.columns), F.lit("")))
