@@ -1,16 +1,19 @@
 """Ordered rules that reject posts, each row with the first reason that holds.
 
-A rule is a name, a predicate and a reason. Removal of repeats depends on which rows survived the rules before it, so the rules run in
-phases: the rows alive after a phase are ranked within their key by arrival, with being alive part of the key.
+A rule is a name, a predicate and a reason. One narrow pass works out every rule of a row and hashes of its text; what is written and shuffled
+from there on has neither texts nor records. Removal of repeats depends on which rows survived the rules before it, so it runs in phases: the
+first of each key by arrival, found by an aggregation with a partial step, goes on to the next phase. A text that is posted a billion times is a
+billion rows of one key only before that partial step. The reasons are joined by the unique idx.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import BEYOND_LATIN, non_latin_share, number, strip, text_or_empty, words
+from ..session import written
 
 # Marks of removed texts, names of bots, patterns, subreddits and rooms.
 REMOVED = ("[removed]", "[deleted]", "removed", "deleted", "[ removed by moderator ]", "[ removed by reddit ]", "[ deleted by user ]", "[ removed ]", "[ deleted ]")
@@ -72,12 +75,8 @@ def _json_text(record: Column, *paths: str) -> Column:
     return F.coalesce(*(F.when(x != "", x) for x in found))
 
 
-def clean(df: DataFrame) -> DataFrame:
-    """The rows with _text (removed bodies replaced by the title where there is one) and drop_reason, null for rows kept.
-
-    Needs idx (arrival order, unique), post_text, platform, profile_id, author_name, subreddit, raw_post_json, all text but idx. Nulls count
-    as empty texts. Repeats are ranked by idx; a blank profile is one profile.
-    """
+def _read(df: DataFrame) -> DataFrame:
+    """The rows with _text, _removed, _low and what the rules look at."""
     first = df.select(
         "*", strip(text_or_empty("post_text")).alias("_text0"), F.lower(strip(text_or_empty("platform"))).alias("_platform"),
         strip(text_or_empty("profile_id")).alias("_profile"), strip(text_or_empty("author_name")).alias("_author"), strip(text_or_empty("subreddit")).alias("_sub"),
@@ -93,41 +92,64 @@ def clean(df: DataFrame) -> DataFrame:
     salvaged = F.when(F.col("_gone") & ~F.lower("_title").isin("[removed]", "[deleted]", ""), F.col("_title"))
     base = read.withColumns({"_text": F.coalesce(salvaged, "_text0"), "_removed": F.col("_gone") & salvaged.isNull()})
     # the patterns are in lower case and match the lower-cased text, which is far cheaper than folding case at each place
-    base = base.withColumn("_low", F.lower("_text"))
+    return base.withColumn("_low", F.lower("_text"))
+
+
+def _phases() -> list[list[Rule]]:
+    """The rules before the repeats within a profile, after them, and after all repeats."""
     t, low, linkedin = F.col("_text"), F.col("_low"), F.col("_platform") == "linkedin"
     no_urls = F.regexp_replace(t, r"(?i)https?://\S+", "")
-    phases = [
+    return [
         [
             Rule("removed", F.col("_removed")), Rule("bot_account", F.col("_author").isin(*BOTS), F.col("_author")), Rule("automod_text", low.rlike(AUTOMOD)), Rule("url_only", t.rlike(r"^https?://\S+$")),
             Rule("too_short", F.length(t) < MIN_LENGTH, F.length(t).cast("string")), Rule("non_english", t.rlike(BEYOND_LATIN) & (F.size(words(t)) >= 5) & (non_latin_share(t) > NON_LATIN)),
         ],
         [Rule("personal_milestone", linkedin & low.rlike(MILESTONE)), Rule("company_author", linkedin & ~F.col("_author_type").isin("", "person", "individual"), F.col("_author_type"))],
-        [],
         [
             Rule("link_title", low.rlike(r"https?://\S+") & (F.length(strip(no_urls)) < LINK_TITLE)), Rule("engagement", low.rlike(ENGAGEMENT) & (F.length(t) < SHORT_ENGAGEMENT)),
             Rule("corporate_job", F.substring(low, 1, 200).rlike(CORPORATE_JOB) & ~F.substring(low, 1, 100).rlike(PERSONAL_JOB)), Rule("blocked_subreddit", (F.col("_platform") == "reddit") & F.col("_sub").isin(*BLOCKED_SUBREDDITS), F.col("_sub")),
         ],
     ]
-    prefix = strip(F.lower(F.substring(t, 1, PREFIX)))
-    repeats = [
-        ("duplicate_within_profile", [F.col("_profile"), F.md5(t)], F.lit(True)),
-        ("duplicate_across_profiles", [F.md5(t)], F.lit(True)),
-        ("near_duplicate", [prefix], F.length(prefix) >= MIN_PREFIX),
-    ]
-    out = base.withColumn("drop_reason", F.coalesce(*(r.reason() for r in phases[0])))
-    for rules, (name, keys, applies) in zip(phases[1:], repeats):
-        later = first_seen_rank(keys, [F.col("drop_reason").isNull()])
-        reason = F.when(F.col("drop_reason").isNull() & applies & (later > 1), F.lit(name))
-        out = out.withColumn("drop_reason", F.coalesce(F.col("drop_reason"), reason))
-        if rules:
-            out = out.withColumn("drop_reason", F.coalesce("drop_reason", *(r.reason() for r in rules)))
-    return out.drop("_removed", "_author_type", "_platform", "_profile", "_author", "_sub", "_text0", "_title", "_gone", "_low")
-
-
-def first_seen_rank(keys: list[Column], alive: list[Column], order: str = "idx") -> Column:
-    """The place of a row among the alive rows of its key by arrival. Dead rows are keyed by their order too, so that they form no group."""
-    dead = F.when(~alive[0], F.col(order)) if alive else F.lit(None)
-    return F.row_number().over(Window.partitionBy(*keys, *alive, dead).orderBy(order))
+
+
+def hashed(c: Column, name: str) -> list[Column]:
+    """A text as two whole numbers of 64 bits."""
+    return [F.xxhash64(c, F.lit(k)).alias(f"{name}{k}") for k in (1, 2)]
+
+
+def firsts(rows: DataFrame, keys: list[str], carried: tuple[str, ...] = ()) -> DataFrame:
+    """Of each key the row of the smallest idx, with the columns carried, which are of fixed width so that the aggregation hashes."""
+    return rows.groupBy(*keys).agg(F.min("idx").alias("idx"), *(F.min_by(c, "idx").alias(c) for c in carried))
+
+
+def drop_reasons(df: DataFrame) -> DataFrame:
+    """idx, drop_reason (null for rows kept).
+
+    Needs idx (arrival order, unique), post_text, platform, profile_id, author_name, subreddit, raw_post_json, all text but idx. Nulls count
+    as empty texts. Repeats are told by idx; a blank profile is one profile.
+    """
+    before, between, after = _phases()
+    prefix = strip(F.lower(F.substring("_text", 1, PREFIX)))
+    long = F.length(prefix) >= MIN_PREFIX
+    lean = _read(df).select(
+        "idx", *hashed(F.col("_profile"), "p"), *hashed(F.col("_text"), "t"), *(F.when(long, h).alias(f"x{k}") for k, h in zip((1, 2), hashed(prefix, "x"))),
+        *(F.coalesce(*(r.reason() for r in rules)).alias(name) for name, rules in (("before", before), ("between", between), ("after", after))),
+    )
+    lean = written(lean.withColumn("ok", F.col("between").isNull()))
+    one = firsts(lean.where("before is null"), ["p1", "p2", "t1", "t2"], ("x1", "x2", "ok"))
+    two = firsts(one.where("ok"), ["t1", "t2"], ("x1", "x2"))
+    three = firsts(two.where("x1 is not null"), ["x1", "x2"]).select("idx").unionByName(two.where("x1 is null").select("idx"))
+    stages = one.select("idx", F.lit(1).alias("stage")).unionByName(two.select("idx", F.lit(2).alias("stage"))).unionByName(three.select("idx", F.lit(3).alias("stage")))
+    reached = stages.groupBy("idx").agg(F.max("stage").alias("stage"))
+    j = lean.select("idx", "before", "between", "after").join(reached, "idx", "left")
+    return j.select("idx", F.coalesce("before", F.when(F.col("stage").isNull(), "duplicate_within_profile"), "between", F.when(F.col("stage") < 2, "duplicate_across_profiles"), F.when(F.col("stage") < 3, "near_duplicate"), "after").alias("drop_reason"))
+
+
+def clean(df: DataFrame) -> DataFrame:
+    """The rows with _text (removed bodies replaced by the title where there is one) and drop_reason, as drop_reasons() has it. Queries that need
+    reasons alone are better off with those: here the rows are shuffled once, by idx."""
+    read = _read(df).drop("_removed", "_author_type", "_platform", "_profile", "_author", "_sub", "_text0", "_title", "_gone", "_low")
+    return read.join(drop_reasons(df), "idx")
 
 
 def reason_counts(cleaned: DataFrame) -> DataFrame:

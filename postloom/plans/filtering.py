@@ -2,31 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import non_latin_share, strip, text_or_empty
-from ..operators.rules import AUTOMOD, BLOCKED_SUBREDDITS, BOTS, CORPORATE_JOB, ENGAGEMENT, MILESTONE, PERSONAL_JOB, REMOVED, ROOMS, clean, first_seen_rank, in_scope, reason_counts
+from ..operators.rules import AUTOMOD, BLOCKED_SUBREDDITS, BOTS, CORPORATE_JOB, ENGAGEMENT, MILESTONE, PERSONAL_JOB, REMOVED, ROOMS, drop_reasons, firsts, hashed, in_scope, reason_counts
 from ..session import table
 
 COLUMNS = ("idx", "post_text", "platform", "profile_id", "author_name", "subreddit", "raw_post_json", "audience_room_id", "audience_room_name")
 
 
-def cleaned(spark: SparkSession, d: str) -> DataFrame:
-    return clean(table(spark, d, "posts_filtered").select(*COLUMNS))
+def reasons(spark: SparkSession, d: str) -> DataFrame:
+    return drop_reasons(table(spark, d, "posts_filtered").select(*COLUMNS))
 
 
 def reject_reason_counts(spark: SparkSession, d: str) -> DataFrame:
-    return reason_counts(cleaned(spark, d))
+    return reason_counts(reasons(spark, d))
 
 
 def rejected_posts(spark: SparkSession, d: str) -> DataFrame:
-    return cleaned(spark, d).where("drop_reason is not null").select("idx", "drop_reason")
+    return reasons(spark, d).where("drop_reason is not null")
 
 
 def kept_posts_by_room(spark: SparkSession, d: str) -> DataFrame:
-    return cleaned(spark, d).where("drop_reason is null").groupBy("audience_room_name").agg(F.count("*").alias("posts"))
+    rooms = table(spark, d, "posts_filtered").select("idx", "audience_room_name")
+    return rooms.join(reasons(spark, d).where("drop_reason is null").select("idx"), "idx", "left_semi").groupBy("audience_room_name").agg(F.count("*").alias("posts"))
 
 
 def scope_reasons(spark: SparkSession, d: str) -> DataFrame:
@@ -40,24 +39,24 @@ def scope_rooms(spark: SparkSession, d: str) -> DataFrame:
     return in_scope(posts).groupBy((F.coalesce("scope_reason", F.lit("")) != "room").alias("listed")).agg(F.count("*").alias("posts"))
 
 
-def _repeats(spark: SparkSession, d: str, keys: Callable, keep: Callable | None = None) -> DataFrame:
+def _repeats(spark: SparkSession, d: str, keys: list[str], where: str = "text <> ''") -> DataFrame:
+    """The posts whose key an earlier one has. Only ids and hashes are shuffled; what isn't a first is found by the unique idx."""
     posts = table(spark, d, "posts_filtered").select("idx", strip(text_or_empty("profile_id")).alias("profile"), strip(text_or_empty("post_text")).alias("text"))
-    posts = posts.where(F.length("text") > 0)
-    ranked = (posts.where(keep()) if keep else posts).withColumn("n", first_seen_rank(keys(), []))
-    return ranked.where("n > 1").select("idx")
+    posts = posts.withColumn("prefix", strip(F.lower(F.substring("text", 1, 100)))).where(where)
+    lean = posts.select("idx", *(h for k in keys for h in hashed(F.col(k), k)))
+    return lean.select("idx").join(firsts(lean, [c for c in lean.columns if c != "idx"]).select("idx"), "idx", "left_anti")
 
 
 def within_author_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    return _repeats(spark, d, lambda: [F.col("profile"), F.md5("text")])
+    return _repeats(spark, d, ["profile", "text"])
 
 
 def cross_author_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    return _repeats(spark, d, lambda: [F.md5("text")])
+    return _repeats(spark, d, ["text"])
 
 
 def prefix_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    prefix = lambda: strip(F.lower(F.substring("text", 1, 100)))
-    return _repeats(spark, d, lambda: [prefix()], lambda: F.length(prefix()) >= 50)
+    return _repeats(spark, d, ["prefix"], "text <> '' and length(prefix) >= 50")
 
 
 def non_latin_posts(spark: SparkSession, d: str) -> DataFrame:
