@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..session import drop_path, has_path, new_path, written
 from .salted import HOT, lookup
@@ -32,12 +32,15 @@ def hash_to_min(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int =
     own = e.where("a = b").select("a", "b")
     state = e.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(False).alias("leaf"), F.lit(False).alias("done")).distinct()
     state = written(state)  # read twice by a round
+    most = state.count()
     settled = [own]
     path = None
     for _ in range(max_rounds):
         before, path = path, new_path(spark)
         # one folder for the edges of settled components, one for the others; that it is absent says that there are none
-        _round(state).write.partitionBy("done").parquet(path)
+        seen = Observation()
+        _round(state, most).observe(seen, F.count_if(~F.col("done")).alias("left")).write.partitionBy("done").parquet(path)
+        most = seen.get["left"]
         if before:
             drop_path(spark, f"{before}/done=false")
         part = lambda done: spark.read.schema(state.schema).parquet(f"{path}/done={done}").withColumn("done", F.lit(done == "true"))  # noqa: B023, E731
@@ -50,12 +53,13 @@ def hash_to_min(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int =
     raise RuntimeError(f"not stable after {max_rounds} rounds")
 
 
-def _round(state: DataFrame) -> DataFrame:
+def _round(state: DataFrame, most: int) -> DataFrame:
+    """The next state. No vertex has more than `most` neighbours: the number of edges, which tells that none is hot once few are left."""
     # the cluster sets: each edge is seen from both ends
     seen = state.select(F.explode(F.array(F.struct(F.col("b").alias("v"), F.col("a").alias("u")), F.struct(F.col("a").alias("v"), F.col("b").alias("u")))).alias("x"), "leaf").select("x.v", "x.u", "leaf")
     least = seen.groupBy("v").agg(F.least("v", F.min("u")).alias("m"), F.count("*").alias("n"), F.count_if(F.col("leaf") & (F.col("v") < F.col("u"))).alias("leaves"))
     least = least.withColumns({"settled": (F.col("m") == F.col("v")) & (F.col("leaves") == F.col("n")), "single": (F.col("n") == 1) & (F.col("m") < F.col("v"))}).drop("leaves")
-    joined = lookup(seen, least, ["v"], "n", HOT)
+    joined = lookup(seen, least, ["v"], "n", HOT) if most > HOT else seen.join(least.drop("n"), "v")
     row = lambda low, high, leaf, done: F.struct(low.alias("a"), high.alias("b"), leaf.alias("leaf"), done.alias("done"))
     v, u, m = F.col("v"), F.col("u"), F.col("m")
     sent = (
