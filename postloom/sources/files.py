@@ -9,7 +9,9 @@ from pathlib import Path
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+
+from ..session import has_path
 
 LOG = logging.getLogger("postloom")
 #: More known keys than this aren't listed by append_by_key().
@@ -38,6 +40,28 @@ def with_arrival(df: DataFrame) -> DataFrame:
     return df.select(F.monotonically_increasing_id().alias("idx"), *(c for c in df.columns if not c.startswith("_")))
 
 
+def in_arrival_order(spark: SparkSession, path: str, fields: tuple[str, ...] = POST_FIELDS) -> DataFrame:
+    """read_csv() with idx as the place of a row over all files, in the order of the files' names: 0, 1, 2 and so on. Splits are counted, and what
+    lies before each is added to a row's place in its split; there are as many sums as splits."""
+    split = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    rows = read_csv(spark, path, fields)
+    raw = rows.select(split.alias("split"), F.monotonically_increasing_id().alias("at"), *rows.columns)
+    sums = raw.groupBy("split").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)  # a row a split
+    bases = sums.select("split", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("base"))
+    return raw.join(F.broadcast(bases), "split").select((F.col("at") + F.col("base")).alias("idx"), *rows.columns)
+
+
+def present(spark: SparkSession, path: str, needed: bool = False) -> bool:
+    """Whether there is something at a path; if it is needed and absent, an error that names it."""
+    found = has_path(spark, path)
+    if needed and not found:
+        raise FileNotFoundError(path)
+    if not found:
+        LOG.warning("absent: %s", path)
+    return found
+
+
 def write_csv(df: DataFrame, path: str, quote_all: bool = False, mode: str = "overwrite") -> None:
     df.write.mode(mode).csv(path, header=True, quote='"', escape='"', quoteAll=quote_all)
 
