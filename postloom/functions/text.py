@@ -36,6 +36,18 @@ def number(c: Column | str) -> Column:
     return F.when(~F.lower(t).rlike("[fd]$"), t.try_cast("double"))
 
 
+def iso_time(c: Column | str) -> Column:
+    """A timestamp from ISO 8601 text: a whole date with or without dashes, any one sign, a time down to hours at least, a zone or none, which is that
+    of the session. Null for anything else, so that a bare year or month is no date; dates by week are not read."""
+    c = F.col(c) if isinstance(c, str) else c
+    day, clock, zone = r"(\d{4})-?(\d{2})-?(\d{2})", r"(\d{2}):?(\d{2})?:?(\d{2})?(?:[.,](\d{1,9}))?", r"(Z|[+-]\d{2}:?\d{2})?"
+    whole = rf"^{day}(?:\D{clock}{zone})?$"
+    part = lambda k: F.regexp_extract(c, whole, k)
+    two = lambda k: F.when(part(k) == "", "00").otherwise(part(k))
+    text = F.concat(part(1), F.lit("-"), part(2), F.lit("-"), part(3), F.lit("T"), two(4), F.lit(":"), two(5), F.lit(":"), two(6), F.lit("."), F.rpad(F.substring(part(7), 1, 6), 6, "0"), F.regexp_replace(part(8), r"^([+-]\d{2})(\d{2})$", "$1:$2"))
+    return F.when(c.rlike(whole), text).try_cast("timestamp")
+
+
 def non_latin_share(c: Column) -> Column:
     """The share of words that hold a character beyond U+024F (mathematical letters aside); null below one word."""
     w = words(c)

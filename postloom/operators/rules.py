@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import BEYOND_LATIN, non_latin_share, number, strip, text_or_empty, words
+from ..functions.text import BEYOND_LATIN, iso_time, non_latin_share, number, strip, text_or_empty, words
 from ..session import written
 
 # Marks of removed texts, names of bots, patterns, subreddits and rooms.
@@ -64,7 +64,7 @@ def in_scope(df: DataFrame, rooms: tuple[str, ...] | None = ROOMS, least_score:
         *([Rule("room", ~F.coalesce(strip("audience_room_id").isin(*rooms), F.lit(False)))] if rooms is not None else []),
         Rule("empty", F.length(strip(text_or_empty("post_text"))) == 0),
         Rule("low_score", (F.lower(strip(text_or_empty("platform"))) == "linkedin") & (number(text_or_empty("label_useful")) < least_score)),
-        Rule("old", text_or_empty("post_date").try_cast("timestamp") < F.lit(cutoff).cast("timestamp")),
+        Rule("old", iso_time(text_or_empty("post_date")) < F.lit(cutoff).cast("timestamp")),
     ]
     return df.withColumn("scope_reason", F.coalesce(*(r.reason() for r in rules)))
 

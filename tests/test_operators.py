@@ -187,3 +187,19 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], "domain string, label string")
     assert similar_pairs(empty, "plain", 0.5).count() == 0 and G.token_components(empty).count() == 0
     assert S.seed_vocabulary(spark.createDataFrame([], "domain string, label string, posts bigint")).count() == 0
+
+
+def test_iso_times(spark):
+    from datetime import datetime, timezone
+
+    from postloom.functions.text import iso_time
+
+    texts = ["2024-01-02", "20240102", "2024-01-02T03:04:05Z", "2024-01-02 03:04", "2024-01-02T03", "2024-01-02T03:04:05.123456+02:00", "2024-01-02T03:04:05,5-0130", "20240102T030405", "2024", "2024-01", "01/02/2024", "", None, "2024-13-01", "2024-01-02T03:04:05 junk", "yesterday"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    for r in df.select("k", "t", iso_time("t").cast("double").alias("at")).collect():
+        try:
+            want = datetime.fromisoformat((r.t or "x").replace("Z", "+00:00"))
+            want = (want if want.tzinfo else want.replace(tzinfo=timezone.utc)).timestamp()
+        except ValueError:
+            want = None
+        assert r.at == want, r.t
