@@ -135,3 +135,15 @@ where m ->> '$.id' is not null""",
 )
 select distinct idx, comment_id, parent_id from named where comment_id is not null""",
 }
+
+
+SQL["p1_posts_all"] = _UNWRAPPED + """
+select idx, coalesce(j ->> '$.id', j ->> '$.post.id', j ->> '$.data.id') as post_id, coalesce(j ->> '$.title', j ->> '$.post.title', j ->> '$.post_details.title') as title,
+       coalesce(j ->> '$.author.urn', j ->> '$.author.name', case when json_type(j -> '$.author') = 'VARCHAR' then j ->> '$.author' end) as author,
+       coalesce(j ->> '$.authorType', j ->> '$.author_type', j ->> '$.post.authorType', j ->> '$.observationType', j ->> '$.author.type') as author_type, j ->> '$.meta.scraper' as scraper
+from records"""
+SQL["p1_media_all"] = _UNWRAPPED + """, lists as (
+  select idx, 'media' as layout, j -> '$.post_details.media' as a from records union all select idx, 'gallery', j -> '$.media.gallery' from records
+), items as (select idx, layout, cast(unnest(generate_series(0, json_array_length(a) - 1)) as int) as ordinal, unnest(cast(a as json[])) as m from lists where json_type(a) = 'ARRAY')
+select idx, layout, ordinal, m ->> '$.id' as media_id, m ->> '$.kind' as kind from items
+where json_type(m) <> 'NULL' and (layout = 'gallery' or m ->> '$.id' is not null or m ->> '$.kind' is not null)"""
