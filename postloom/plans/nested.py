@@ -144,6 +144,6 @@ select idx, coalesce(j ->> '$.id', j ->> '$.post.id', j ->> '$.data.id') as post
 from records"""
 SQL["p1_media_all"] = _UNWRAPPED + """, lists as (
   select idx, 'media' as layout, j -> '$.post_details.media' as a from records union all select idx, 'gallery', j -> '$.media.gallery' from records
-), items as (select idx, layout, cast(unnest(generate_series(0, json_array_length(a) - 1)) as int) as ordinal, unnest(cast(a as json[])) as m from lists where json_type(a) = 'ARRAY')
+), items as (select idx, layout, cast(unnest(generate_series(0, cast(json_array_length(a) as bigint) - 1)) as int) as ordinal, unnest(cast(a as json[])) as m from lists where json_type(a) = 'ARRAY')
 select idx, layout, ordinal, m ->> '$.id' as media_id, m ->> '$.kind' as kind from items
 where json_type(m) <> 'NULL' and (layout = 'gallery' or m ->> '$.id' is not null or m ->> '$.kind' is not null)"""
