@@ -23,5 +23,22 @@ def p6_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return tagged.join(p6_mapped(spark, d).distinct(), "idx").groupBy("topic_broad", "how").agg(F.count("*").alias("posts"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_unmatched": p6_unmatched}
-SQL: dict[str, str] = {}
+def p6_exact(spark: SparkSession, d: str) -> DataFrame:
+    """idx, vocab_id of the posts whose topic is an entry of their domain letter by letter, both in plain spelling."""
+    plain = table(spark, d, "tagged_posts_v2_clean").select("idx", F.col("topic_broad").alias("topic_domain"), "topic").distinct()
+    entries = table(spark, d, "vocabulary").select("topic_domain", "topic").distinct()
+    return plain.join(F.broadcast(entries), ["topic_domain", "topic"], "left_semi").select("idx").join(p6_found(spark, d), "idx")  # the list's size is checked by map_values()
+
+
+def p6_judged(spark: SparkSession, d: str) -> DataFrame:
+    """The posts that are mapped or reported as unmatched."""
+    return p6_found(spark, d).select("idx").distinct()
+
+
+QUERIES = {"p6_found": p6_found, "p6_unmatched": p6_unmatched, "p6_exact": p6_exact, "p6_judged": p6_judged}
+
+#: What holds of the results where SQL can't express all of them.
+SQL = {
+    "p6_exact": "select distinct t.idx, v.vocab_id from tagged_posts_v2_clean t join vocabulary v on t.topic_broad = v.topic_domain and t.topic = v.topic",
+    "p6_judged": "select distinct idx from tagged_posts_v2_clean where topic is not null and trim(topic, ' ' || chr(9) || chr(10) || chr(13)) <> '' and lower(trim(topic)) <> 'unclassified'",
+}
