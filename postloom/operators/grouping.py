@@ -6,13 +6,11 @@ import re
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import CLEANUP_SHORT, CLEANUP_STOP, WIDE_STOP, tokens
 from ..session import cut_lineage
 
-GROUPS = "domain string, label string, group_no bigint, status string"
-
 
 def token_components(labels: DataFrame, kind: str = "cleanup", max_rounds: int = 40) -> DataFrame:
     """domain, label, component: labels linked by shared tokens, directly or indirectly; the component is its smallest label. Labels without
@@ -117,12 +115,21 @@ def greedy_groups(labels: list[str], kind: str = "wide") -> list[list[str]]:
     return groups
 
 
-def per_domain(labels: DataFrame, group: Callable[[list[str]], list[tuple[list[str], str]]]) -> DataFrame:
-    """domain, label, group_no, status of a sequential grouping of the distinct labels of each domain, in the order of the labels. A domain is one
-    group of work, since each step depends on the one before; it holds distinct labels only."""
+def per_domain(labels: DataFrame, group: Callable[[list[str]], list[tuple[list[str], str]]], kind: str = "cleanup", buckets: int = 256) -> DataFrame:
+    """domain, label, group_no, status of a sequential grouping of the distinct labels of each domain, in the order of the labels; groups are numbered
+    by their smallest label.
+
+    Labels that share no token, directly or indirectly, never meet in a group. So a domain is parted into its components by tokens, which are found in parallel, and
+    components are grouped in buckets, each in order: the result is that of the whole domain. What is one piece of work is one component, since
+    each step within it depends on the one before. kind: the tokens that the grouping goes by; labels without any are in no group.
+    """
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         found = group(sorted(rows["label"]))
-        return pd.DataFrame([(key[0], x, k, status) for k, (g, status) in enumerate(found) for x in g], columns=["domain", "label", "group_no", "status"])
+        return pd.DataFrame([(key[0], x, min(g), status) for g, status in found for x in g], columns=["domain", "label", "least", "status"])
 
-    return labels.select("domain", "label").distinct().groupBy("domain").applyInPandas(run, GROUPS)
+    parts = token_components(labels.select("domain", "label").distinct(), kind)
+    done = parts.groupBy("domain", F.pmod(F.xxhash64("component"), F.lit(buckets)).alias("bucket")).applyInPandas(lambda key, rows: run(key, rows), "domain string, label string, least string, status string")
+    done = cut_lineage(done)
+    numbers = done.select("domain", "least").distinct().withColumn("group_no", (F.row_number().over(Window.partitionBy("domain").orderBy("least")) - 1).cast("bigint"))  # a row a group
+    return done.join(numbers, ["domain", "least"]).select("domain", "label", "group_no", "status")

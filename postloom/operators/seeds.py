@@ -42,7 +42,9 @@ def by_root(freq: DataFrame) -> DataFrame:
 def by_tokens(passed: DataFrame) -> DataFrame:
     """domain, label, posts, canonical: pass 2. Labels without tokens stay as they are."""
     keyed = passed.withColumn("key", F.array_join(tokens(F.col("label"), "small"), " "))
-    best = F.first("first").over(Window.partitionBy("domain", "key").orderBy(F.desc("posts"), F.length("label"), "label"))
+    # a label without tokens is a key of its own, so that they don't meet in one group
+    own = F.when(F.col("key") == "", F.concat(F.lit("\0"), "label")).otherwise(F.col("key"))
+    best = F.first("first").over(Window.partitionBy("domain", own).orderBy(F.desc("posts"), F.length("label"), "label"))
     return keyed.withColumn("canonical", F.when(F.col("key") == "", F.col("first")).otherwise(best)).drop("key", "first")
 
 
@@ -57,9 +59,10 @@ def rank_pairs(canonicals: DataFrame, t: float = 0.75) -> DataFrame:
 
 
 def ranked(passed: DataFrame) -> DataFrame:
-    """domain, label, posts, rank of the canonical labels."""
+    """domain, label, posts, rank of the canonical labels. rank orders the labels of a domain, most posts first; it is made of a row's own values,
+    so no domain has to be sorted in one place."""
     sums = passed.groupBy("domain", F.col("canonical").alias("label")).agg(F.sum("posts").alias("posts"))
-    return sums.withColumn("rank", F.row_number().over(Window.partitionBy("domain").orderBy(F.desc("posts"), "label")))
+    return sums.withColumn("rank", F.struct(F.negative("posts").alias("n"), F.col("label").alias("l")))
 
 
 def join_better(canonicals: DataFrame, t: float = 0.75, max_rounds: int = 40) -> DataFrame:

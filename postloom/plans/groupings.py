@@ -68,6 +68,7 @@ fold(domain, i, n, groups) as (
 ), ended as (select domain, unnest(generate_series(0, len(groups) - 1)) as group_no, unnest(groups) as g from fold where i = n)
 select domain, unnest(g.l) as label, group_no, 'OK' as status from ended""",
     "split_group_members": _REC + _LONE + _levels() + "select domain, label, least, status from members",
+    "split_groups": _REC + _LONE + _levels() + "select domain, label, dense_rank() over (partition by domain order by least) - 1 as group_no, status from members",
     "merge_proposals": _REC
     + f""", ck as (select domain, canonical as label, posts, {_tok('canonical', 'cleanup')} as k from canonicals),
 syn as (select a.domain, a.label, b.label as canonical, {_J} as score, row_number() over (partition by a.domain, a.label order by {_J} desc, b.label) as r

@@ -65,7 +65,7 @@ def split_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def greedy_overlap_groups(spark: SparkSession, d: str) -> DataFrame:
-    return G.per_domain(label_frequency(spark, d).where("posts = 1"), lambda labels: [(g, "OK") for g in G.greedy_groups(labels)])
+    return G.per_domain(label_frequency(spark, d).where("posts = 1"), lambda labels: [(g, "OK") for g in G.greedy_groups(labels)], "wide")
 
 
 QUERIES = {

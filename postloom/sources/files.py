@@ -27,12 +27,22 @@ def text_schema(fields: tuple[str, ...]) -> T.StructType:
     return T.StructType([T.StructField(f, T.StringType()) for f in fields])
 
 
-def read_csv(spark: SparkSession, path: str, fields: tuple[str, ...] = POST_FIELDS) -> DataFrame:
-    """A CSV file with a header, quoted line breaks and fields of any length, all columns text by the names in its header; rows that are
-    too short have nulls. Nothing is inferred, so the file is read once."""
-    header = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path, enforceSchema=False, inferSchema=False)
+def read_csv(spark: SparkSession, path: str, fields: tuple[str, ...] = POST_FIELDS, line_breaks: bool = True) -> DataFrame:
+    """CSV files with a header and fields of any length, all columns text by the names in the header; rows that are too short have nulls. Nothing is
+    inferred, so the files are read once.
+
+    With quoted line breaks a file can't be split and is one task: give an export in parts, or convert() it once. Where there are none,
+    line_breaks=False lets files be split."""
+    form = dict(header=True, quote='"', escape='"', multiLine=line_breaks)
+    header = spark.read.csv(path, enforceSchema=False, inferSchema=False, **form)
     have = [f for f in fields if f in header.columns]
-    return spark.read.schema(text_schema(tuple(header.columns))).csv(path, header=True, multiLine=True, quote='"', escape='"', mode="PERMISSIVE", maxCharsPerColumn=-1).select(*have)
+    return spark.read.schema(text_schema(tuple(header.columns))).csv(path, mode="PERMISSIVE", maxCharsPerColumn=-1, **form).select(*have)
+
+
+def convert(spark: SparkSession, csv: str, parquet: str, fields: tuple[str, ...] = POST_FIELDS, files_of: int = 1_000_000) -> DataFrame:
+    """The rows of CSV files with their arrival order, written once as Parquet that every later run can split and read by column."""
+    in_arrival_order(spark, csv, fields).write.mode("overwrite").option("maxRecordsPerFile", files_of).parquet(parquet)
+    return spark.read.parquet(parquet)
 
 
 def with_arrival(df: DataFrame) -> DataFrame:

@@ -115,6 +115,9 @@ def test_arrival_order_over_files(spark, tmp_path):
     for k in range(3):
         spark.createDataFrame([(f"{k}-{i}",) for i in range(40 - k)], "post_id string").coalesce(1).write.csv(str(tmp_path / "in" / f"part{k}"), header=True)
     got = files.in_arrival_order(spark, str(tmp_path / "in" / "*"), ("post_id",)).orderBy("idx").collect()
+    files.convert(spark, str(tmp_path / "in" / "*"), str(tmp_path / "out"), ("post_id",))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(map(tuple, got))
+    assert files.read_csv(spark, str(tmp_path / "in" / "*"), ("post_id", "absent"), line_breaks=False).count() == 117
     assert [r.idx for r in got] == list(range(117)) and [r.post_id for r in got] == [f"{k}-{i}" for k in range(3) for i in range(40 - k)]
 
 
