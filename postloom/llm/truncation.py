@@ -35,6 +35,7 @@ _TAG = re.compile(r"([#@][^\s#@]+)$")
 _OPTION = re.compile(r"--?[A-Za-z]\w[\w-]*$")
 _SCHEME = re.compile(r"https?:/{0,2}$", re.I)
 _SPECIAL = re.compile(r"://|[@#]|www\.|(?<!\S)--?[A-Za-z]", re.I)
+_DASHED = re.compile(r"(?<!\S)--?[A-Za-z]")
 _CLOSING = ".,;:!?)]}>\"'»”’。！？、"
 _CODE_END = re.compile(r"[{};]$|\w\(\)$|(?<!\S)-[A-Za-z]$")
 #: A row of a table that a bar opened and none closed; pipelines don't begin with a bar.
@@ -77,7 +78,9 @@ def _key(token: str) -> str | None:
 def _known_keys(text: str) -> Iterator[str]:
     """The keys a stripped text shows to be whole: hosts and their domains, the starts of paths up to each delimiter, tags and options. Of its
     last token only what a delimiter ends."""
-    tokens = text.split() if _SPECIAL.search(text) else []
+    # plain tests first: most texts have none of these signs
+    likely = "@" in text or "#" in text or "://" in text or "-" in text and _DASHED.search(text) or "www." in text.lower()
+    tokens = text.split() if likely else []
     for k, token in enumerate(tokens, 1):
         if not _SPECIAL.search(token) or (key := _key(token)) is None:
             continue
