@@ -72,16 +72,6 @@ def platform_room_audit(spark: SparkSession, d: str) -> DataFrame:
     return g.withColumn("one_sided", (F.col("linkedin") == 0) | (F.col("reddit") == 0))
 
 
-AUDITED = ("profile_id", "post_text", "post_date", "subreddit", "author_name", "author_headline", "share_audience", "lang", "raw_post_json")
-
-
-def column_fill(spark: SparkSession, d: str) -> DataFrame:
-    """How many rows have a value in each column that is read later."""
-    posts = table(spark, d, "posts_filtered")
-    counts = posts.agg(*(F.count_if(F.length(strip(text_or_empty(c))) > 0).alias(c) for c in AUDITED))
-    return counts.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled")) for c in AUDITED))).alias("x")).select("x.*")
-
-
 def profile_presence(spark: SparkSession, d: str) -> DataFrame:
     """Rows of each platform with and without a usable profile id."""
     p = F.lower(strip(text_or_empty("profile_id")))
@@ -90,7 +80,7 @@ def profile_presence(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (reject_reason_counts, rejected_posts, kept_posts_by_room, scope_reasons, scope_rooms, within_author_duplicates, cross_author_duplicates, prefix_near_duplicates, non_latin_posts, platform_room_audit, column_fill, profile_presence)
+    for f in (reject_reason_counts, rejected_posts, kept_posts_by_room, scope_reasons, scope_rooms, within_author_duplicates, cross_author_duplicates, prefix_near_duplicates, non_latin_posts, platform_room_audit, profile_presence)
 }
 
 
@@ -163,7 +153,6 @@ select cast(floor(10 * len(list_filter(ws, lambda x: regexp_matches(x, '[^\x{0}-
     "platform_room_audit": """
 select audience_room_name, count(*) as posts, count(*) filter (lower(trim(platform)) = 'linkedin') as linkedin, count(*) filter (lower(trim(platform)) = 'reddit') as reddit, count(distinct profile_id) as authors,
        count(*) filter (lower(trim(platform)) = 'linkedin') = 0 or count(*) filter (lower(trim(platform)) = 'reddit') = 0 as one_sided from posts_filtered group by 1""",
-    "column_fill": " union all ".join(f"select '{c}' as column_name, count(*) filter (length({_s(f'coalesce({c}, {chr(39) * 2})')}) > 0) as filled from posts_filtered" for c in AUDITED),
     "profile_presence": """
 select lower(trim(coalesce(platform, ''))) as platform_name, count(*) filter (lower(trim(coalesce(profile_id, ''))) in ('', 'unknown')) as missing,
        count(*) filter (lower(trim(coalesce(profile_id, ''))) not in ('', 'unknown')) as present from posts_filtered group by 1""",

@@ -69,24 +69,10 @@ def label_posts_whole(spark: SparkSession, d: str) -> DataFrame:
     return B.label(table(spark, d, "posts_clean_v2"), B.rule_model(KEYWORDS), pause=0.0).select("idx", "topic_broad", "sentiment", "stance", "post_type", "status")
 
 
-def resume_labels(spark: SparkSession, d: str) -> DataFrame:
-    """The posts left when those of even ids are done."""
-    posts = table(spark, d, "posts_clean_v2")
-    done = posts.select("idx", F.when(F.col("idx") % 2 == 0, "ok").otherwise("failed").alias("status"))
-    return B.label(posts, B.rule_model(KEYWORDS), done, pause=0.0, max_chars=PROMPT_CHARS).select("idx", "status")
-
-
 def label_batches(spark: SparkSession, d: str) -> DataFrame:
     return B.batches(table(spark, d, "posts_clean_v2")).groupBy("batch").agg(F.count("*").alias("posts"))
 
 
-def merged_labels(spark: SparkSession, d: str) -> DataFrame:
-    """Posts with labels of those of even ids."""
-    posts = table(spark, d, "posts_clean_v2").select("idx", "platform", "post_text")
-    labels = B.label(posts.where("idx % 2 = 0"), B.rule_model(KEYWORDS), pause=0.0, max_chars=PROMPT_CHARS)
-    return B.merge_labels(posts, labels).select("idx", "platform", "topic_broad", "status")
-
-
 def resume_labels_tagged(spark: SparkSession, d: str) -> DataFrame:
     """The posts left when those with a topic in the tagged table are done; UNCLASSIFIED marks failures, which are tried again."""
     topic = F.lower(strip(F.col("topic")))
@@ -123,7 +109,7 @@ def length_distance(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        anchor_signature, duplicate_merges, verdict_counts, suspicion_flags, known_case_check, merge_proposals, evaluation_sample, verdict_agreement, label_posts, label_posts_whole, resume_labels, resume_labels_tagged, label_batches, merged_labels, merged_labels_all, batch_mapping, top_percent_coverage, master_numbers, length_distance,
+        anchor_signature, duplicate_merges, verdict_counts, suspicion_flags, known_case_check, merge_proposals, evaluation_sample, verdict_agreement, label_posts, label_posts_whole, resume_labels_tagged, label_batches, merged_labels_all, batch_mapping, top_percent_coverage, master_numbers, length_distance,
     )
 }
 
@@ -156,10 +142,6 @@ select items, agreed, (agreed / items - (pa * pb + (1 - pa) * (1 - pb))) / (1 -
 with p as (select idx, lower(coalesce(post_text, ''))[1:800] as t from posts_clean_v2)
 select idx, {_DOMAIN} as topic_broad, case when contains(t, 'bad ') or contains(t, 'overrated') or contains(t, 'fragile') then 'negative' when contains(t, 'better') or contains(t, 'good ') or contains(t, 'well ') then 'positive' else 'neutral' end as sentiment,
        case when contains(t, '?') then 'questioning' else 'assertive' end as stance, case when regexp_matches(t, '\\?[\\s\\p{{Z}}]*$') then 'question' else 'opinion' end as post_type, 'ok' as status from p""",
-    "resume_labels": "select idx, 'ok' as status from posts_clean_v2 where idx % 2 <> 0",
-    "merged_labels": f"""
-with p as (select idx, platform, lower(coalesce(post_text, ''))[1:800] as t from posts_clean_v2)
-select idx, platform, case when idx % 2 = 0 then {_DOMAIN} end as topic_broad, case when idx % 2 = 0 then 'ok' else 'missing' end as status from p""",
     "batch_mapping": _L + "select domain, label, case when posts >= 2 then regexp_replace(label, '^[a-z]+ ', '') else label end as canonical, case when posts >= 2 then 'answered' else 'self' end as status from freq",
     "top_percent_coverage": _L
     + """, r as (select *, row_number() over (partition by domain order by posts desc, label) as r, count(*) over (partition by domain) as n, sum(posts) over (partition by domain) as total from freq)
