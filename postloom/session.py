@@ -41,7 +41,14 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Removes a table of written() before the program ends: for what no plan still to run reads."""
+    drop_path(df.sparkSession, df.written_path)
 
 
 def has_path(spark: SparkSession, path: str) -> bool:

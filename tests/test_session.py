@@ -25,8 +25,9 @@ def test_written(spark):
     assert sorted(tuple(r) for r in back.collect()) == [(1, "a"), (2, None)] and session.written(df.limit(0)).count() == 0
     path = back.inputFiles()[0].rpartition("/")[0]
     assert session.has_path(spark, path)
-    session.drop_path(spark, path)
+    session.discard(back)
     assert not session.has_path(spark, path)
+    session.drop_path(spark, path)  # nothing to do
 
 
 class Blocked(importlib.abc.MetaPathFinder):
