@@ -14,9 +14,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import drop_path, has_path, new_path, written
+from ..session import discard, drop_path, has_path, new_path, written
 from .salted import HOT, lookup
 
 
@@ -38,11 +38,11 @@ def hash_to_min(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int =
     for _ in range(max_rounds):
         before, path = path, new_path(spark)
         # one folder for the edges of settled components, one for the others; that it is absent says that there are none
-        seen = Observation()
-        _round(state, most).observe(seen, F.count_if(~F.col("done")).alias("left")).write.partitionBy("done").parquet(path)
-        most = seen.get["left"]
+        _round(state, most).write.partitionBy("done").parquet(path)
         if before:
             drop_path(spark, f"{before}/done=false")
+        else:
+            discard(state)
         part = lambda done: spark.read.schema(state.schema).parquet(f"{path}/done={done}").withColumn("done", F.lit(done == "true"))  # noqa: B023, E731
         if has_path(spark, f"{path}/done=true"):
             settled.append(part("true").select("a", "b"))
@@ -50,6 +50,8 @@ def hash_to_min(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int =
             stars = reduce(DataFrame.unionByName, settled)
             return stars.select(F.explode(F.array(F.struct(F.col("b").alias("vertex"), F.col("a").alias("group")), F.struct(F.col("a").alias("vertex"), F.col("a").alias("group")))).alias("x")).groupBy("x.vertex").agg(F.min("x.group").alias("group"))
         state = part("false")
+        # an edge sends at most two on, so a count is needed only where that bound doesn't tell
+        most = most * 2 if most * 2 <= HOT else state.count()
     raise RuntimeError(f"not stable after {max_rounds} rounds")
 
 
@@ -103,6 +105,7 @@ def match_groups(matches: DataFrame, decision: str = "APPLY") -> DataFrame:
     linked = lookup(rows.where("links").select("r", "key"), numbered.where("n > 0"), ["key"], "n", HOT).groupBy("r").agg(F.collect_set("v").alias("vs"))  # one row's labels
     edges = linked.where(F.size("vs") > 1).select(F.array_min("vs").alias("a"), F.explode("vs").alias("b")).where("a <> b")
     groups = hash_to_min(edges)
+    discard(rows)  # the rounds are written, and nothing else reads them
     found = numbered.select("v", "key").join(groups.withColumnRenamed("vertex", "v"), "v", "left")
     sizes = groups.groupBy(F.col("group").alias("v")).agg(F.count("*").alias("n"))
     heads = sizes.join(numbered.select("v", "key"), "v").select(F.col("v").alias("group"), F.col("key.label").alias("group_label"), "n")

@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import written
+from ..session import discard, written
 
 BLOCK = 256
 SHARD = 512
@@ -58,7 +58,9 @@ def pack(tokens: DataFrame, seed: int = 7, block: int = BLOCK, range_tokens: int
     pieces = pieces.select("source", "block", "doc_id", (F.col("start") + low).alias("at"), F.slice("ids", low + 1, high - low).alias("ids"))
     parts = F.sort_array(F.collect_list(F.struct("at", "doc_id", "ids")))  # no more pieces than ids in a block
     blocks = pieces.groupBy("source", "block").agg(parts.alias("p")).select("source", "block", F.size(F.flatten("p.ids")).cast("bigint").alias("tokens"), F.flatten("p.ids").alias("ids"), F.col("p.doc_id").alias("docs"))
-    return written(blocks)
+    made = written(blocks)
+    discard(docs)
+    return made
 
 
 def _bounded(by_source: DataFrame) -> DataFrame:
